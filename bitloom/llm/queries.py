@@ -90,7 +90,7 @@ union all select contig_idx, -1, -1 from long where contig_idx not in (select co
     "p5_percentiles": """
 with last as (select * from pairs qualify row_number() over (partition by trait, idx_a, idx_b order by written_at desc) = 1),
 vals as (
-  select trait, 'effect' as measure, effect as value from last union all select trait, 'pval', pval from last),
+  select trait, 'effect' as measure, effect + 0e0 as value from last union all select trait, 'pval', pval + 0e0 from last),
 pcts as (select unnest([1, 5, 25, 50, 75, 95, 99])::double as pct),
 agg as (
   select trait, measure, count(*) as n, quantile_cont(value, [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]) as q
