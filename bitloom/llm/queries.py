@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bitloom.llm import packing, percentiles, sampling, splitting, tokenizer, top_n
+from bitloom.llm import mojibake, packing, percentiles, sampling, splitting, tokenizer, top_n
 from bitloom.plans.runtime import table
 
 
@@ -56,8 +56,16 @@ def p7_fill(spark, d):
     return packing.container_fill(packing.fill_with_documents(table(spark, d, "documents")))
 
 
+def p8_found(spark, d):
+    return mojibake.mended_documents(table(spark, d, "documents")).select("doc_id")
+
+
+def p8_repaired(spark, d):
+    return mojibake.mended_documents(table(spark, d, "documents"))
+
+
 def queries():
-    named = [p1_found, p1_pieces, p2_sample, p3_found, p3_top_hits, p5_percentiles, p5_day_summaries, p5_span, p6_ids, p6_decoded, p7_containers, p7_fill]
+    named = [p1_found, p1_pieces, p2_sample, p3_found, p3_top_hits, p5_percentiles, p5_day_summaries, p5_span, p6_ids, p6_decoded, p7_containers, p7_fill, p8_found, p8_repaired]
     return {f.__name__: f for f in named}
 
 
