@@ -30,7 +30,7 @@ _LAYERS = 4  # times a text may have been read wrongly
 _ODD = 10.0  # bits that an impossible sign costs
 _RARE = 5.5  # bits a letter pair may cost on average before other readings are tried
 _MIN_DROP = 7.0  # bits by which a reading must be cheaper, and the share it must save of what the changed pairs cost
-_MIN_SHARE = 0.35
+_MIN_SHARE = 0.3
 
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _RUNS = re.compile(r"[^\x00-\x7f]{2}")
@@ -252,8 +252,9 @@ class Mender:
     def _legacy(self, text: str) -> str | None:
         """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
         odd = self.oddity(text)
-        if not odd and set(self.kinds[[ord(c) for c in set(text) if c > "\x7f"]].tolist()) <= {1, 7}:
-            return None  # drawings and signs alone
+        beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
+        if not odd and 2 * (beyond == _DRAWING).sum() > len(beyond):
+            return None  # a drawing
         best, most = None, _MIN_DROP
         tried = {text}
         for name in READ_AS:
