@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.plans.runtime import lookup_join
+from bitloom.plans.runtime import checkpointed, lookup_join
 
 #: ASCII white space (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -66,22 +66,22 @@ def _most_common(parsed: DataFrame, out: str, value: Column) -> DataFrame:
     return counted.groupBy("shard").agg((-best["v"]).alias(out))
 
 
-def shard_shapes(results: DataFrame, parsed: DataFrame) -> DataFrame:
-    """``shard, k, bit_len`` of each shard, redelivered rows counted once (the latest stands).
+def shard_shapes(results: DataFrame, rows: DataFrame) -> DataFrame:
+    """``shard, k, bit_len`` of each shard of ``rows``, redelivered results counted once (the latest stands).
 
     Where ``bit_len`` or ``k`` is null, or the shard has no row at all, the length that most
-    two-field lines of the shard have is taken.
+    two-field lines of the shard have is taken; only lines of such shards are parsed for it.
     """
     last = F.max(F.struct("loaded_at", "k", "bit_len"))
     known = results.filter("shard is not null").groupBy("shard").agg(last.alias("s")).select("shard", "s.k", "s.bit_len")
-    shards = parsed.select("shard").filter("shard is not null").distinct()
-    partial = shards.join(known, "shard", "left")
+    # as many rows as there are shards; used three times below
+    partial = checkpointed(rows.select("shard").filter("shard is not null").distinct().join(known, "shard", "left"))
     open_ = partial.filter("k is null or bit_len is null").select("shard")
-    lines = lookup_join(parsed, open_, ["shard"], "left_semi")
+    lines = parse_cells(lookup_join(rows, open_, ["shard"], "left_semi"))
     guess = _most_common(lines, "k2", F.length(F.col("fields")[0])).join(
         _most_common(lines, "b2", F.length(F.col("fields")[1])), "shard"
     )
-    return partial.join(guess, "shard", "left").select("shard", F.coalesce("k", "k2").alias("k"), F.coalesce("bit_len", "b2").alias("bit_len"))
+    return checkpointed(partial.join(guess, "shard", "left").select("shard", F.coalesce("k", "k2").alias("k"), F.coalesce("bit_len", "b2").alias("bit_len")))
 
 
 def _fails(reason: Column) -> Column:
@@ -127,8 +127,9 @@ def split_parsed(rows: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFr
     Repeated ``line_id`` gives one failure; a clean line is kept as often as it comes.
     Empty tables give empty results.
     """
-    parsed = parse_cells(rows.filter("line_id is not null"))
-    bad = failures(parsed, shard_shapes(results, parsed))
+    given = rows.filter("line_id is not null").select("line_id", "shard", "line")
+    parsed = parse_cells(given)
+    bad = failures(parsed, shard_shapes(results, given))
     good = parsed.filter("not bad_quotes and n_fields = 2").join(bad.select("line_id"), "line_id", "left_anti")
     return good.select("line_id", "shard", F.upper(F.col("fields")[0]).alias("kmer"), F.col("fields")[1].alias("bit")), bad
 
