@@ -65,8 +65,8 @@ def tested_rows(rows: DataFrame, d: Design, min_corr: float = 0.2, log10_p: floa
                 values = [a[at].astype(np.int32), r[at], effect[at], beta[at], r2[at], t[at]]
                 yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in keep), *map(pa.array, values)], [*keep, "ones", "r", "effect", "beta", "r2", "t"])
 
-    used = rows.filter(F.length("bit") >= width).select(*keep, "bit")
-    kinds = ", ".join(f"`{c}` {t}" for c, t in used.dtypes[:-1])
+    used = rows.filter(F.length("bit") >= width).select(*keep, *(["bit"] if "bit" not in keep else []))
+    kinds = ", ".join(f"`{c}` {t}" for c, t in used.select(*keep).dtypes)
     return used.mapInArrow(run, f"{kinds}, ones int, r double, effect double, beta double, r2 double, t double")
 
 
