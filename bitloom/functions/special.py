@@ -98,4 +98,4 @@ def statistic_cut(log10_p: float) -> float:
 
 def r2_cut(log10_p: float, n: int) -> float:
     """The least r² of ``n`` samples whose p-value is at most 10^-log10_p."""
-    return 1 - math.exp(-statistic_cut(log10_p) / n)
+    return 1 - math.exp(-statistic_cut(log10_p) / n) if n else 1.0

@@ -111,9 +111,11 @@ def scan_twoway(hosts: DataFrame, pathogens: DataFrame, d: Grid, interaction_onl
     left = h.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(np_ - 1)))).select(F.col("own").alias("ba"), F.col("other").alias("bb"), "label", "bit")
     right = p.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nh - 1)))).select(F.col("other").alias("ba"), F.col("own").alias("bb"), "label", "bit")
 
+    none = pd.DataFrame({c: pd.Series([], dtype=object if c in "ab" else float) for c in ("a", "b", "ratio", "delta", "lrt")})
+
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": [], "ratio": [], "delta": [], "lrt": []})
+            return none
         x, z = bit_matrix(pa.array(a["bit"]), np.arange(d.y.shape[0])), bit_matrix(pa.array(b["bit"]), np.arange(d.y.shape[1]))
         ratio, delta, lrt = likelihood_ratios(x, z, d, interaction_only)
         return pd.DataFrame({"a": np.repeat(a["label"].to_numpy(), len(b)), "b": np.tile(b["label"].to_numpy(), len(a)), "ratio": ratio.ravel(), "delta": delta.ravel(), "lrt": lrt.ravel()})

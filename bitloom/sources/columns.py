@@ -9,11 +9,11 @@ from bitloom.plans.ranks import numbered
 
 
 def column_batch(spark: SparkSession, path: str, ords: list[int] | None = None) -> DataFrame:
-    """``ord, bits`` of the column files below ``path/bits`` (plain or gzipped, one line each); with ``ords`` only those samples' files are opened."""
+    """``ord, bits`` of the column files below ``path/bits`` (plain or gzipped; line breaks in a column are dropped); with ``ords`` only those samples' files are opened."""
     pattern = "col_*" if ords is None else "{" + ",".join(f"col_{o:06d}*" for o in ords) + "}"
     files = spark.read.text(f"{path}/bits/{pattern}", wholetext=True)
     ord_ = F.regexp_extract(F.input_file_name(), r"col_(\d+)", 1).cast("int")
-    return files.select(ord_.alias("ord"), F.regexp_replace("value", r"[\r\n]+\z", "").alias("bits"))
+    return files.select(ord_.alias("ord"), F.translate("value", "\r\n", "").alias("bits"))
 
 
 def probe_rows(columns: DataFrame) -> int:
@@ -33,10 +33,10 @@ def presence_of(columns: DataFrame) -> DataFrame:
 def write_columns(rows: DataFrame, path: str, samples: int) -> None:
     """Sorted rows (``kmer, bit``) as k-mers and one text of bits per sample below ``path``.
 
-    Bits are gathered per sample in stretches of numbered rows, so that a column is put together from bounded parts.
+    Bits are gathered per sample in stretches of 100,000 numbered rows, each a line of the sample's file, so no column is ever held whole.
     """
     placed = numbered(rows.select("bit", "kmer"), ["bit", "kmer"], "idx")
     placed.select("kmer", "idx").sortWithinPartitions("idx").select("kmer").write.mode("overwrite").text(f"{path}/kmers", compression="gzip")
     long = placed.select("idx", F.posexplode(F.split("bit", "")).alias("ord", "b")).filter((F.col("ord") < samples) & (F.col("b") != ""))
     part = long.groupBy("ord", F.floor(F.col("idx") / 100_000).alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "b"))), lambda x: x["b"]), "").alias("bits"))
-    part.repartition("ord").sortWithinPartitions("ord", "part").select("ord", "bits").write.mode("overwrite").partitionBy("ord").option("lineSep", "").text(f"{path}/bits", compression="gzip")
+    part.repartition("ord").sortWithinPartitions("ord", "part").select("ord", "bits").write.mode("overwrite").partitionBy("ord").text(f"{path}/bits", compression="gzip")
