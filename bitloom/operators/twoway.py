@@ -122,6 +122,7 @@ def scan_twoway(hosts: DataFrame, pathogens: DataFrame, d: Grid, interaction_onl
 
     kinds = [dict(x.dtypes)["label"] for x in (hosts, pathogens)]
     out = left.groupBy("ba", "bb").cogroup(right.groupBy("ba", "bb")).applyInPandas(run, f"a {kinds[0]}, b {kinds[1]}, ratio double, delta double, lrt double")
+    out = out.select("a", "b", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in ("ratio", "delta", "lrt")))  # pandas hands on NaN as null
     tail = chi2_sf1(F.col("lrt")) if interaction_only else chi2_sf3(F.col("lrt"))
     return out.withColumn("p", F.when(F.isnan("lrt"), F.col("lrt")).when(F.col("lrt") == float("inf"), F.lit(0.0)).otherwise(tail))
 
