@@ -115,12 +115,22 @@ class Mender:
         self.runs: dict[str, str | None] = {}
         self.tables = {n: _table(n) for n in READ_AS}
         self.single = [n for n in READ_AS if self.tables[n]]
+        # a byte order mark as it looks after one, two or three wrong readings
+        self.marks = sorted((m for n in self.single for m in self._marks(n)), key=len, reverse=True)
         # three signs in a row that may be a UTF-8 sequence of three bytes
         self.wide = {}
         for name in ("cp1252", "mac_roman", "cp1251", "koi8_r"):
             signs = lambda low, high: "".join(re.escape(chr(c)) for c, b in self.tables[name].items() if low <= b <= high)  # noqa: E731, B023
             self.wide[name] = re.compile(f"[{signs(0xE0, 0xEF)}][{signs(0x80, 0xBF)}]{{2}}")
 
+    def _marks(self, name: str) -> list[str]:
+        sign = {b: chr(c) for c, b in self.tables[name].items()}
+        mark, marks = "\ufeff", []
+        for _ in range(3):
+            mark = "".join(sign.get(b, "\ufffd") for b in mark.encode())
+            marks.append(mark)
+        return marks
+
     # -- cost -------------------------------------------------------------
 
     def _bits(self, at: np.ndarray, own: bool) -> np.ndarray:
@@ -166,8 +176,8 @@ class Mender:
                 odd += 1
             if i and {kind, before} <= {2, 3, 4}:
                 odd += 1
-            if kind in (5, 6) and before == after == 2:
-                odd += 1  # Latin words beside Han or Hangul are usual, Han inside a word is not
+            if kind in (5, 6) and (before == after == 2 or size == 1 and 2 in (before, after)):
+                odd += 1  # Latin words beside Han or Hangul are usual; inside a word, or one sign at its end, they are not
         row, last = 0, "A"
         for c, k in zip(word, kinds):
             # a capital after a small letter, one of them accented
@@ -229,6 +239,14 @@ class Mender:
         """``line`` with each run of signs read as UTF-8 where it can be."""
         return _RUN.sub(self._mended_run, line) if _RUNS.search(line) else line
 
+    def _mended_line(self, line: str) -> str:
+        """As :meth:`_mended_runs`, if the line gets cheaper by it: a few letters of correct text may pass for UTF-8 too."""
+        new = self._mended_runs(line)
+        if new == line:
+            return line
+        odd = self.oddity(line)
+        return new if self.oddity(new) <= odd and self._drop(line, new, odd, 0.0) > 0 else line
+
     def _remains(self, line: str) -> bool:
         """Whether there is UTF-8 in wrong reading left of which signs were lost."""
         for name, pattern in self.wide.items():
@@ -240,14 +258,14 @@ class Mender:
                 return True
         return False
 
-    def _drop(self, text: str, read: str, odd: int) -> float:
+    def _drop(self, text: str, read: str, odd: int, share: float = _MIN_SHARE) -> float:
         """Bits that ``read`` costs less than ``text``, over what differs between them; 0 if that is too small a share."""
         a, b = pair_codes(text), pair_codes(read)
         at, which = np.unique(np.concatenate([a, b]), return_inverse=True)
         extra = np.bincount(which[: len(a)], minlength=len(at)) - np.bincount(which[len(a) :], minlength=len(at))
         was = float((self._bits(at, True) * extra.clip(0)).sum()) + _ODD * odd
         now = float((self._bits(at, False) * (-extra).clip(0)).sum()) + _ODD * self.oddity(read)
-        return was - now if was - now >= _MIN_SHARE * was else 0.0
+        return was - now if was - now >= share * was else 0.0
 
     def _legacy(self, text: str) -> str | None:
         """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
@@ -314,6 +332,11 @@ class Mender:
                         return True, None
         lines = text.split("\n")
         found, lost = False, False
+        for mark in self.marks:
+            if text.startswith(mark):
+                found = True
+                lines[0] = "\ufeff" + lines[0][len(mark) :]
+                break
         open_: dict[str, list[int]] = {}
         for i, line in enumerate(lines):
             if line.isascii() or not line.strip():
@@ -321,13 +344,13 @@ class Mender:
             bare = self._meant(line)
             if bare != line:
                 # what a program quotes on purpose stays as it is
-                if "�" in bare or self._mended_runs(bare) != bare:
+                if "�" in bare or self._mended_line(bare) != bare:
                     found = lost = True
                 continue
             if "�" in line:
                 found = lost = True
-            mended = self._mended_runs(line)
-            if mended != line and self.oddity(mended) <= self.oddity(line):
+            mended = self._mended_line(line)
+            if mended != line:
                 found = True
                 lines[i] = line = mended
             if "�" not in line and not line.isascii():
