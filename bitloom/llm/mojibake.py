@@ -332,15 +332,15 @@ class Mender:
                         return True, None
         lines = text.split("\n")
         found, lost = False, False
-        for mark in self.marks:
-            if text.startswith(mark):
-                found = True
-                lines[0] = "\ufeff" + lines[0][len(mark) :]
-                break
         open_: dict[str, list[int]] = {}
         for i, line in enumerate(lines):
             if line.isascii() or not line.strip():
                 continue
+            for mark in self.marks:
+                if line.startswith(mark):  # of the file, or of one that was put after a line of its own
+                    found = True
+                    lines[i] = line = "\ufeff" + line[len(mark) :]
+                    break
             bare = self._meant(line)
             if bare != line:
                 # what a program quotes on purpose stays as it is
