@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import codecs
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -15,10 +17,10 @@ from pyspark.sql import functions as F
 from bitloom.plans.runtime import checkpointed
 
 #: Encodings a text may have been read in by mistake, the likeliest first (fixed values).
-READ_AS = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "cp1253", "cp1254", "cp1257", "iso8859_2", "cp866", "gbk", "cp932", "cp949", "big5"]
+READ_AS = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "cp1253", "cp1254", "cp1257", "iso8859_2", "cp866", "cp852", "gbk", "cp932", "cp949", "big5"]
 
 #: Encodings it may have been written in, in (fixed values).
-WRITTEN_AS = ["utf-8", "cp1252", "cp850", "cp437", "mac_roman", "cp1250", "cp1254", "cp1251", "koi8_r", "cp866", "cp1253", "cp1257", "iso8859_2", "gb18030", "cp932", "euc_jp", "cp949", "big5", "koi8_u"]
+WRITTEN_AS = ["utf-8", "cp1252", "cp850", "cp437", "mac_roman", "cp1250", "cp1254", "cp1251", "koi8_r", "cp866", "cp852", "cp1253", "cp1257", "iso8859_2", "gb18030", "cp932", "euc_jp", "cp949", "big5", "koi8_u"]
 
 #: Size of the table of letter pairs; 4 bytes each, whatever the corpus.
 PAIRS = 1 << 20
@@ -26,6 +28,7 @@ PAIRS = 1 << 20
 _HAN, _DRAWING = 5, 7
 _REMEMBERED, _SHORT = 200_000, 40  # words a worker remembers, and how long one may be
 
+_HOPELESS = 8  # impossible signs in a line by which it counts as garbled even without a repair
 _LAYERS = 4  # times a text may have been read wrongly
 _ODD = 10.0  # bits that an impossible sign costs
 _RARE = 5.5  # bits a letter pair may cost on average before other readings are tried
@@ -48,9 +51,10 @@ _BLOCKS = [(0x386, 0x3CF), (0x400, 0x45F), (0x490, 0x491), (0x5D0, 0x5EA), (0x60
 _INNER = set("’‘'-·–—…→×±•­")
 
 
+@cache
 def _classes() -> np.ndarray:
-    """Of each character: 0 implausible, 1 a sign, 2 Latin, 3 Cyrillic, 4 Greek, 5 Han or kana, 6 Hangul and further scripts, 7 drawing."""
-    kinds = np.zeros(0x110000, np.uint8)
+    """Of each character: 0 a control or unassigned, 8 a letter that is hardly ever the right reading, 1 a sign, 2 Latin, 3 Cyrillic, 4 Greek, 5 Han or kana, 6 Hangul and further scripts, 7 drawing."""
+    kinds = np.fromiter((8 if unicodedata.category(chr(c))[0] in "LMN" else 0 for c in range(0x110000)), np.uint8, 0x110000)
     kinds[:128] = 1
     for low, high in _BLOCKS:
         kinds[low : high + 1] = 1
@@ -64,7 +68,7 @@ def _classes() -> np.ndarray:
     kinds[0x387] = 1
     kinds[0x3041:0x3100] = kinds[0x3005:0x3008] = kinds[0x4E00:0xA000] = 5
     kinds[0x30FB] = 1
-    kinds[0xFF66:0xFFA0] = 0  # half-width kana come from wrong readings
+    kinds[0xFF66:0xFFA0] = 8  # half-width kana come from wrong readings
     for low, high in ((0x5D0, 0x5EB), (0x621, 0x653), (0x67E, 0x6D3), (0x904, 0x950), (0xE01, 0xE5C), (0xAC00, 0xD7A4)):
         kinds[low:high] = 6
     kinds[0x2500:0x25A0] = 7
@@ -189,7 +193,7 @@ class Mender:
         return odd
 
     def plausible(self, text: str) -> bool:
-        return all(self.kinds[ord(c)] for c in set(text) if c > "\x7f")
+        return not np.isin(self.kinds[[ord(c) for c in set(text)]], (0, 8)).any()
 
     # -- readings -----------------------------------------------------------
 
@@ -288,7 +292,7 @@ class Mender:
                     continue
                 tried.add(read)
                 kinds = self.kinds[[ord(c) for c in set(read)]]
-                if (kinds == 0).any() or (kinds == _DRAWING).any() or 4 * self.oddity(read) > odd:
+                if np.isin(kinds, (0, _DRAWING, 8)).any() or 4 * self.oddity(read) > odd:
                     continue
                 drop = self._drop(text, read, odd)
                 if drop > most:
@@ -321,10 +325,9 @@ class Mender:
     def mend(self, text: str) -> tuple[bool, str | None]:
         """Whether a passage of ``text`` was read wrongly, and the text restored (None where signs are lost)."""
         if "\x00" in text:
-            for name in ("utf-16-le", "utf-16-be"):
-                # of each pair of bytes one is mostly zero
-                half = text[1::2] if name == "utf-16-le" else text[::2]
-                if half.count("\x00") * 2 > len(half):
+            for name, zeros, others in (("utf-16-le", text[1::2], text[::2]), ("utf-16-be", text[::2], text[1::2])):
+                # one byte of each pair is zero wherever the sign was ASCII
+                if zeros.count("\x00") > max(0.1 * len(zeros), 4 * others.count("\x00")):
                     raw = self.bytes_of(text, "cp1252")
                     try:
                         return True, None if raw is None else raw.decode(name)
@@ -367,7 +370,7 @@ class Mender:
                     found = True
                     for i in open_[line]:
                         lines[i] = new
-                elif self._remains(line):
+                elif self._remains(line) or self.oddity(line) >= _HOPELESS:
                     found = lost = True
         return found, None if lost or not found else "\n".join(lines)
 
