@@ -115,12 +115,14 @@ class Mender:
     def __init__(self, seen: np.ndarray, documents: int):
         self.seen, self.documents = seen, max(documents, 1)
         self.kinds = _classes()
+        self.likely = (self.kinds > 0) & (self.kinds < 8)
+        self.written = self.likely & (self.kinds != _DRAWING)  # likely, and no drawing
         self.odd: dict[str, int] = {}
         self.runs: dict[str, str | None] = {}
         self.tables = {n: _table(n) for n in READ_AS}
         self.single = [n for n in READ_AS if self.tables[n]]
         # a byte order mark as it looks after one, two or three wrong readings
-        self.marks = sorted((m for n in self.single for m in self._marks(n)), key=len, reverse=True)
+        self.marks = tuple(sorted((m for n in self.single for m in self._marks(n)), key=len, reverse=True))
         # three signs in a row that may be a UTF-8 sequence of three bytes
         self.wide = {}
         for name in ("cp1252", "mac_roman", "cp1251", "koi8_r"):
@@ -193,7 +195,7 @@ class Mender:
         return odd
 
     def plausible(self, text: str) -> bool:
-        return not np.isin(self.kinds[[ord(c) for c in set(text)]], (0, 8)).any()
+        return bool(self.likely[[ord(c) for c in set(text)]].all())
 
     # -- readings -----------------------------------------------------------
 
@@ -291,8 +293,7 @@ class Mender:
                 if read in tried:
                     continue
                 tried.add(read)
-                kinds = self.kinds[[ord(c) for c in set(read)]]
-                if np.isin(kinds, (0, _DRAWING, 8)).any() or 4 * self.oddity(read) > odd:
+                if not self.written[[ord(c) for c in set(read)]].all() or 4 * self.oddity(read) > odd:
                     continue
                 drop = self._drop(text, read, odd)
                 if drop > most:
@@ -339,11 +340,9 @@ class Mender:
         for i, line in enumerate(lines):
             if line.isascii() or not line.strip():
                 continue
-            for mark in self.marks:
-                if line.startswith(mark):  # of the file, or of one that was put after a line of its own
-                    found = True
-                    lines[i] = line = "\ufeff" + line[len(mark) :]
-                    break
+            if line.startswith(self.marks):  # of the file, or of one that was put after a line of its own
+                found = True
+                lines[i] = line = "\ufeff" + line[next(len(m) for m in self.marks if line.startswith(m)) :]
             bare = self._meant(line)
             if bare != line:
                 # what a program quotes on purpose stays as it is
