@@ -51,7 +51,7 @@ def contig_offsets(contigs: DataFrame, buckets: int = 64) -> DataFrame:
     A running sum in two steps: contigs are ranged into buckets by index, summed within them and
     shifted by the sums of the buckets before, so no task holds all of them.
     """
-    lengths = contig_lengths(contigs)
+    lengths = checkpointed(contig_lengths(contigs))  # narrow; the sequences are read once
     spread = lengths.agg(F.min("contig_idx").alias("low"), F.max("contig_idx").alias("high")).first()
     width = max(1, -(-((spread.high or 0) - (spread.low or 0) + 1) // buckets))
     cut = lengths.withColumn("bucket", F.floor((F.col("contig_idx") - F.lit(spread.low or 0)) / width))
@@ -125,7 +125,7 @@ def reference_keys(ref: DataFrame, k: int, index: DataFrame | None = None) -> Da
     spark = ref.sparkSession
     members = None
     if index is not None and at_most(index, _SMALL_INDEX):
-        keys = np.sort(np.array([r.key for r in index.select("key").distinct().collect()], np.int64))  # counted above
+        keys = np.unique(index.select("key").toArrow().column(0).to_numpy())  # counted above
         members = spark.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

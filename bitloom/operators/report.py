@@ -40,23 +40,24 @@ def under(hits: DataFrame, max_p: float) -> DataFrame:
 
 def value_percentile(df: DataFrame, value: Column, percent: float) -> float | None:
     """The exact, interpolated percentile of a column by a distributed sort: one row comes back."""
-    sorted_values = df.select(value.alias("v")).filter("v is not null and not isnan(v)")
-    counted = sorted_values.groupBy("v").agg(F.count("*").alias("c")).repartitionByRange("v").sortWithinPartitions("v")
-    total = sorted_values.count()
+    values = df.select(value.alias("v")).filter("v is not null and not isnan(v)")
+    counted = values.groupBy("v").agg(F.count("*").alias("c")).repartitionByRange("v").sortWithinPartitions("v")
+    sizes = checkpointed(counted.withColumn("part", F.spark_partition_id()))
+    parts = sizes.groupBy("part").agg(F.sum("c").alias("n")).orderBy("part").collect()  # a row per partition
+    total = sum(r.n for r in parts)
     if not total:
         return None
     at = percent / 100 * (total - 1)
-    sizes = counted.withColumn("part", F.spark_partition_id())
-    sizes = checkpointed(sizes)
-    parts = sizes.groupBy("part").agg(F.sum("c").alias("n")).orderBy("part").collect()  # a row per partition
     before, shift = 0, {}
     for r in parts:
         shift[r.part], before = before, before + r.n
+
     def near(rank: int) -> float:
         part = max((p for p, s in shift.items() if s <= rank), key=lambda p: shift[p])
         w = W.partitionBy("part").orderBy("v")
         run = sizes.filter(F.col("part") == part).withColumn("upto", F.sum("c").over(w))
         return run.filter(F.col("upto") > rank - shift[part]).agg(F.min("v")).first()[0]
+
     low = near(math.floor(at))
     high = near(math.ceil(at))
     return low + (high - low) * (at - math.floor(at))
@@ -82,7 +83,7 @@ def cell_counts(pairs: DataFrame, width: int) -> DataFrame:
 
 def dense_cells(pairs: DataFrame, width: int, percent: float) -> DataFrame:
     """``cx, cy, n`` of cells whose count reaches the percentile of all counts."""
-    counts = cell_counts(pairs, width)
+    counts = checkpointed(cell_counts(pairs, width))
     cut = value_percentile(counts, F.col("n").cast("double"), percent)
     return counts if cut is None else counts.filter(F.col("n") >= cut)
 
