@@ -99,11 +99,14 @@ union all select contig_idx, -1, -1 from long where contig_idx not in (select co
 with last as (select * from pairs qualify row_number() over (partition by trait, idx_a, idx_b order by written_at desc) = 1),
 vals as (
   select trait, 'effect' as measure, effect + 0e0 as value from last union all select trait, 'pval', pval + 0e0 from last),
+ranked as (
+  select *, row_number() over (partition by trait, measure order by value) - 1 as r, count(*) over (partition by trait, measure) as n
+  from vals where value is not null and isfinite(value)),
 pcts as (select unnest([1, 5, 25, 50, 75, 95, 99])::double as pct),
-agg as (
-  select trait, measure, count(*) as n, quantile_cont(value, [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]) as q
-  from vals where value is not null and isfinite(value) group by trait, measure)
-select trait, measure, n, unnest([1, 5, 25, 50, 75, 95, 99])::double as pct, unnest(q) as value from agg
+near as (
+  select trait, measure, n, pct, pct / 100 * (n - 1) as at_, min(value) as low, max(value) as high
+  from ranked, pcts where r = floor(pct / 100 * (n - 1)) or r = ceil(pct / 100 * (n - 1)) group by all)
+select trait, measure, n, pct, low + (high - low) * (at_ - floor(at_)) as value from near
 """,
     "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
