@@ -61,7 +61,7 @@ def _genome_pairs(spark, d):
     at = mapping.to_genome(features.latest(table(spark, d, "hits").filter("contig_idx >= 0 and pos >= 0"), ["hit_id"], "loaded_at", ["contig_idx", "pos"]), mapping.contig_offsets(table(spark, d, "contigs")))
     pairs = features.latest(table(spark, d, "pairs"), ["trait", "idx_a", "idx_b"], "written_at", ["effect", "pval"])
     ok = pairs.filter("pval >= 0 and not isnan(pval) and effect is not null and not isnan(effect) and abs(effect) < 1e300").withColumnRenamed("pval", "p")
-    return mapping.map_pairs(ok, at.select(F.col("hit_id").alias("idx"), "pos"))
+    return checkpointed(mapping.map_pairs(ok, at.select(F.col("hit_id").alias("idx"), "pos")))  # read more than once
 
 
 def p4_found(spark, d):
@@ -533,7 +533,7 @@ duo as (
 ORACLE = {
     "p4_found": _PARSED + "select line_id, reason from judged where reason is not null",
     "p4_clean": _PARSED + "select line_id, shard, upper(f[1]) as kmer, f[2] as bit from judged where reason is null",
-    "overlap": "with " + _ROWS.rstrip().rstrip(",") + " select j, ord, sample_id, y from ov",
+    "overlap": "with " + _ROWS.rstrip().rstrip(",") + " select j::int as j, ord, sample_id, y from ov",
     "kmer_freq": "with " + _ROWS + "f as (select row_id, sum(x)::int as ones, round(sum(x) / count(*), 9) as freq from cells group by 1) select * from f",
     "maf_filter": "with " + _ROWS + "f as (select row_id, least(avg(x), 1 - avg(x)) as maf from cells group by 1) select row_id, round(maf, 9) as maf from f where maf >= 0.05",
     "bitstring_subset": "with " + _ROWS + "f as (select row_id, string_agg(x::varchar, '' order by j) as bits from cells group by 1) select * from f",
