@@ -70,7 +70,7 @@ def queries():
 
 
 _TOP = """
-select contig_idx, hit_id, pos, pval, row_number() over (partition by contig_idx order by pval, pos, hit_id) as place
+select contig_idx, hit_id, pos, pval, row_number() over (partition by contig_idx order by pval, pos, hit_id)::int as place
 from (select distinct contig_idx, hit_id, pos, pval from hits
       where contig_idx >= 0 and pos >= 0 and pval >= 0 and pval <= 1 and not isnan(pval))
 qualify place <= 5
