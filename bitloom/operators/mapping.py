@@ -96,12 +96,12 @@ def key_of(kmer: Column, k: int) -> Column:
     return encoded(canonical(kmer)) if k <= 31 else canonical(kmer)
 
 
-def window_codes(bases: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the windows of ``k`` <= 31 bases without N in a chunk, and the codes of their canonical forms."""
+def window_codes(bases: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the windows of ``k`` <= 31 bases without N in a chunk, and the codes of either strand."""
     digit = _DIGITS[np.frombuffer(bases, np.uint8)]
     n = len(digit) - k + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     masked = np.concatenate([[0], np.cumsum(digit > 3)])
     at = np.flatnonzero(masked[k:] == masked[:-k])
     d = digit.astype(np.int64)
@@ -110,38 +110,51 @@ def window_codes(bases: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
         part = d[i : i + n]
         forward = forward << 2 | part
         back |= (3 - part) << (2 * i)
-    return at, np.minimum(forward, back)[at]
+    return at, forward[at], back[at]
 
 
-def reference_keys(ref: DataFrame, k: int, index: DataFrame | None = None) -> DataFrame:
-    """``contig_idx, pos, key`` of every window of ``k`` bases without N, as :func:`key_of`.
+def _members(index: DataFrame | None):
+    """The keys of an index of a counted, bounded size, sorted and shared with all tasks; None for a larger one."""
+    if index is None or not at_most(index, _SMALL_INDEX):
+        return None
+    keys = np.unique(index.select("key").toArrow().column(0).to_numpy())  # counted above
+    return index.sparkSession.sparkContext.broadcast(keys)
+
+
+def _among(keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(codes), bool)
+    return keys[np.minimum(np.searchsorted(keys, codes), len(keys) - 1)] == codes
+
+
+def strand_codes(ref: DataFrame, k: int, index: DataFrame | None = None) -> DataFrame:
+    """``contig_idx, pos, forward, back`` of every window of ``k`` <= 31 bases without N: the codes of both strands.
 
     Long sequences are cut into chunks that are dealt out anew. With an ``index`` (``key``) of a
-    counted, bounded size, windows whose key isn't in it are dropped where they are made.
+    counted, bounded size, windows of which neither code is in it are dropped where they are made.
     """
-    if k > 31:
-        places = reference_kmers(ref, k)
-        return places.select("contig_idx", "pos", canonical(F.col("kmer")).alias("key"))
-    spark = ref.sparkSession
-    members = None
-    if index is not None and at_most(index, _SMALL_INDEX):
-        keys = np.unique(index.select("key").toArrow().column(0).to_numpy())  # counted above
-        members = spark.sparkContext.broadcast(keys)
+    members = _members(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = members.value if members is not None else None
         for batch in batches:
             for contig, start, bases in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                at, codes = window_codes(bases, k)
-                if keys is not None:
-                    near = np.searchsorted(keys, codes)
-                    there = keys[np.minimum(near, max(len(keys) - 1, 0))] == codes if len(keys) else np.zeros(len(codes), bool)
-                    at, codes = at[there], codes[there]
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), contig, np.int64)), pa.array(at + start), pa.array(codes)], ["contig_idx", "pos", "key"])
+                found = window_codes(bases, k)
+                if members is not None:
+                    there = _among(members.value, found[1]) | _among(members.value, found[2])
+                    found = tuple(x[there] for x in found)
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), contig, np.int64)), pa.array(found[0] + start), pa.array(found[1]), pa.array(found[2])], ["contig_idx", "pos", "forward", "back"])
 
     cut = chunks(ref, k).repartition(F.col("contig_idx"), F.col("at"))
-    return cut.mapInArrow(run, "contig_idx bigint, pos bigint, key bigint")
+    return cut.mapInArrow(run, "contig_idx bigint, pos bigint, forward bigint, back bigint")
+
+
+def reference_keys(ref: DataFrame, k: int, index: DataFrame | None = None) -> DataFrame:
+    """``contig_idx, pos, key`` of every window of ``k`` bases without N, as :func:`key_of`; with a small ``index`` (``key``) only of those in it."""
+    if k > 31:
+        return reference_kmers(ref, k).select("contig_idx", "pos", canonical(F.col("kmer")).alias("key"))
+    # the keys of an index are canonical, and of two codes the smaller is the canonical one: the other is in no index
+    return strand_codes(ref, k, index).select("contig_idx", "pos", F.least("forward", "back").alias("key"))
 
 
 def kmers_at(ref: DataFrame, places: DataFrame, k: int) -> DataFrame:
@@ -170,16 +183,20 @@ def map_hits(ref: DataFrame, index: DataFrame, k: int, max_p: float | None = Non
 
 
 def map_dual(ref: DataFrame, hits: DataFrame, k: int) -> DataFrame:
-    """As :func:`map_hits` over hits kept as they are (``kmer, effect, p``): the forward k-mer is looked up first, then its reverse complement."""
-    once = hits.filter(is_kmer(F.col("kmer"), k)).groupBy(F.upper("kmer").alias("kmer")).agg(F.min(F.struct("p", "effect")).alias("v"))
-    once = checkpointed(once)
-    small = at_most(once, _SMALL_INDEX)
-    hint = F.broadcast if small else (lambda df: df)
-    places = reference_kmers(ref, k)
-    forward = places.join(hint(once.select("kmer", F.col("v").alias("f"))), "kmer", "left")
-    both = forward.withColumn("rc", reverse_complement(F.col("kmer"))).join(hint(once.select(F.col("kmer").alias("rc"), F.col("v").alias("r"))), "rc", "left")
-    found = both.withColumn("v", F.coalesce("f", "r")).filter("v is not null")
-    return found.select("contig_idx", "pos", "kmer", "v.effect", "v.p")
+    """``contig_idx, pos, effect, p`` over hits kept as they are (``kmer, effect, p``): the forward k-mer is looked up first, then its reverse complement.
+
+    Repeated hits of one k-mer count once, that of the smallest p, then the smallest effect.
+    """
+    key = encoded(F.upper("kmer")) if k <= 31 else F.upper("kmer")
+    once = checkpointed(hits.filter(is_kmer(F.col("kmer"), k)).groupBy(key.alias("key")).agg(F.min(F.struct("p", "effect")).alias("v")))
+    if k <= 31:
+        places = strand_codes(ref, k, once)
+    else:
+        windows = reference_kmers(ref, k)
+        places = windows.select("contig_idx", "pos", F.col("kmer").alias("forward"), reverse_complement(F.col("kmer")).alias("back"))
+    forward = lookup_join(places, once.select(F.col("key").alias("forward"), F.col("v").alias("f")), ["forward"], "left", "pos", _SMALL_INDEX)
+    both = lookup_join(forward, once.select(F.col("key").alias("back"), F.col("v").alias("r")), ["back"], "left", "pos", _SMALL_INDEX)
+    return both.withColumn("v", F.coalesce("f", "r")).filter("v is not null").select("contig_idx", "pos", "v.effect", "v.p")
 
 
 def density_filter(hits: DataFrame, window: int = 100, density: float = 0.95) -> DataFrame:
