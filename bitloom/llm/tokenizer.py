@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -52,8 +52,8 @@ class Codec:
         self.edges: tuple[dict, dict] = ({}, {})
         self.pieces = _Pieces(self)
         # offset table: token i is blob[offsets[i]:offsets[i + 1]]
-        self.blob = b"".join(self.tokens)
-        self.offsets = list(accumulate(map(len, self.tokens), initial=0))
+        self.blob = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.offsets = np.cumsum([0, *map(len, self.tokens)])
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes]:
         """The two parts a token is merged from: BPE of its bytes short of the last merge."""
@@ -171,9 +171,15 @@ class Codec:
         return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, self._cut(text))), np.int32)
 
     def decode(self, ids) -> str:
-        """The text of ids, by the offset table; bytes that are no UTF-8 become U+FFFD."""
-        o = self.offsets
-        return b"".join([self.blob[o[i] : o[i + 1]] for i in ids]).decode("utf-8", "replace")
+        """The text of ids, gathered by the offset table; bytes that are no UTF-8 become U+FFFD."""
+        ids = np.asarray(ids, np.int64)
+        starts = self.offsets[ids]
+        sizes = self.offsets[ids + 1] - starts
+        upto = np.cumsum(sizes)
+        if not len(ids):
+            return ""
+        at = np.arange(upto[-1]) + np.repeat(starts - upto + sizes, sizes)
+        return self.blob[at].tobytes().decode("utf-8", "replace")
 
 
 class _Pieces(dict):
@@ -263,9 +269,11 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, key: str
 
     def run(batches):
         codec = codec_of(shared.value)
-        for batch, lists in _slices(batches, 1):
-            texts = pa.array([None if v is None else codec.decode(v) for v in lists], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts], [key, "text"])
+        for batch in batches:
+            lists = batch.column(1)
+            there, ends, flat = lists.is_valid().to_numpy(False), lists.offsets.to_numpy(), lists.values.to_numpy()
+            texts = [codec.decode(flat[a:b]) if ok else None for ok, a, b in zip(there, ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [key, "text"])
 
     used = encoded.select(key, ids)
     return used.mapInArrow(run, f"`{key}` {used.dtypes[0][1]}, text string")
