@@ -156,7 +156,7 @@ def batched(rows: DataFrame, batch_size: int = 10) -> DataFrame:
     shards = rows.select("shard").filter("shard is not null").distinct()
     # one narrow row per shard; the number of files, not of rows
     numbered = shards.select("shard", F.floor((F.row_number().over(W.orderBy("shard")) - 1) / batch_size).cast("int").alias("batch"))
-    return lookup_join(rows, numbered, ["shard"], salt="row_id")
+    return lookup_join(rows, numbered, ["shard"])
 
 
 def sorted_batches(rows: DataFrame, batch_size: int = 10) -> DataFrame:

@@ -11,14 +11,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bitloom.functions.kmers import canonical, encoded, index_shard, is_kmer, reverse_complement
-from bitloom.plans.runtime import at_most, checkpointed, lookup_join
+from bitloom.plans.runtime import checkpointed, lookup_join
 
 #: Bases of a reference that are cut into k-mers by one task step.
 _CHUNK = 20_000
 
-#: Index entries up to which an index is broadcast (8 bytes each as keys, about 60 as rows).
+#: Index entries up to which an index is broadcast (about 60 bytes each).
 _SMALL_INDEX = 300_000
 
+#: The logarithm of the bits of the largest map of index keys.
+_GATE_BITS = 28
+
 _DIGITS = np.full(256, 4, np.uint8)
 _DIGITS[[65, 67, 71, 84]] = range(4)
 
@@ -29,10 +32,20 @@ def normalised(seq: Column) -> Column:
 
 
 def reference(contigs: DataFrame) -> DataFrame:
-    """``contig_idx, name, seq`` normalised, redelivered contigs once (the latest with a sequence); others with null keys or sequences are left out."""
-    given = contigs.filter("contig_idx is not null and seq is not null").select("contig_idx", "name", "loaded_at", normalised(F.col("seq")).alias("seq"))
-    last = F.max_by(F.struct("name", "seq"), F.struct("loaded_at", F.xxhash64("seq")))
-    return given.groupBy("contig_idx").agg(last.alias("s")).select("contig_idx", "s.name", "s.seq")
+    """``contig_idx, name, seq`` normalised, redelivered contigs once (the latest with a sequence); others with null keys or sequences are left out.
+
+    The latest row of each contig is found by time and a hash of its sequence, so that no
+    sequence is shuffled for it but those of rows delivered twice at one time.
+    """
+    keys = ["contig_idx", "_time", "_hash"]
+    given = contigs.filter("contig_idx is not null and seq is not null").select(
+        "contig_idx", "name", F.coalesce(F.col("loaded_at").cast("string"), F.lit("")).alias("_time"), F.xxhash64("name", "seq").alias("_hash"), "seq"
+    )
+    copies = given.groupBy(*keys).agg(F.count("*").alias("_copies"))
+    last = copies.groupBy("contig_idx").agg(F.max(F.struct("_time", "_hash", "_copies")).alias("w")).select("contig_idx", "w.*")
+    kept = lookup_join(given, checkpointed(last), keys)
+    once = kept.filter("_copies = 1").unionByName(kept.filter("_copies > 1").dropDuplicates(["contig_idx"]))
+    return once.select("contig_idx", "name", normalised(F.col("seq")).alias("seq"))
 
 
 def contig_lengths(contigs: DataFrame) -> DataFrame:
@@ -113,34 +126,58 @@ def window_codes(bases: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return at, forward[at], back[at]
 
 
-def _members(index: DataFrame | None):
-    """The keys of an index of a counted, bounded size, sorted and shared with all tasks; None for a larger one."""
-    if index is None or not at_most(index, _SMALL_INDEX):
+def _slots(codes: np.ndarray, bits: int) -> np.ndarray:
+    return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
+
+def _gate(index: DataFrame | None):
+    """A bit map of the keys of an index, shared with all tasks: 16 bits a key, but never above 32 MB.
+
+    Windows whose bit isn't set are in no index entry. The map is put together by a
+    grouped OR of its words, of which the driver gets the final ones.
+    """
+    if index is None:
         return None
-    keys = np.unique(index.select("key").toArrow().column(0).to_numpy())  # counted above
-    return index.sparkSession.sparkContext.broadcast(keys)
+    bits = max(16, min(_GATE_BITS, (16 * index.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = np.unique(_slots(batch.column(0).to_numpy(), bits))
+            words, first = np.unique(slots >> np.uint64(6), return_index=True)
+            if len(words):
+                marks = np.bitwise_or.reduceat(np.uint64(1) << (slots & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(marks.view(np.int64))], ["word", "marks"])
+
+    words = index.select("key").mapInArrow(run, "word bigint, marks bigint").groupBy("word").agg(F.bit_or("marks").alias("marks")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[words.column("word").to_numpy()] = words.column("marks").to_numpy().view(np.uint64)
+    return index.sparkSession.sparkContext.broadcast((bits, table))
 
 
-def _among(keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(codes), bool)
-    return keys[np.minimum(np.searchsorted(keys, codes), len(keys) - 1)] == codes
+def _may_be_in(gate: tuple[int, np.ndarray], codes: np.ndarray) -> np.ndarray:
+    bits, table = gate
+    slots = _slots(codes, bits)
+    return (table[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def strand_codes(ref: DataFrame, k: int, index: DataFrame | None = None) -> DataFrame:
+def strand_codes(ref: DataFrame, k: int, index: DataFrame | None = None, canonical_index: bool = False) -> DataFrame:
     """``contig_idx, pos, forward, back`` of every window of ``k`` <= 31 bases without N: the codes of both strands.
 
-    Long sequences are cut into chunks that are dealt out anew. With an ``index`` (``key``) of a
-    counted, bounded size, windows of which neither code is in it are dropped where they are made.
+    Long sequences are cut into chunks that are dealt out anew. With an ``index`` (``key``) most
+    windows of which neither code (the canonical one) is in it are dropped where they are made, so that
+    a join afterwards moves few of them.
     """
-    members = _members(index)
+    gate = _gate(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for contig, start, bases in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 found = window_codes(bases, k)
-                if members is not None:
-                    there = _among(members.value, found[1]) | _among(members.value, found[2])
+                if gate is not None:
+                    if canonical_index:
+                        there = _may_be_in(gate.value, np.minimum(found[1], found[2]))
+                    else:
+                        there = _may_be_in(gate.value, found[1]) | _may_be_in(gate.value, found[2])
                     found = tuple(x[there] for x in found)
                 if len(found[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), contig, np.int64)), pa.array(found[0] + start), pa.array(found[1]), pa.array(found[2])], ["contig_idx", "pos", "forward", "back"])
@@ -150,11 +187,10 @@ def strand_codes(ref: DataFrame, k: int, index: DataFrame | None = None) -> Data
 
 
 def reference_keys(ref: DataFrame, k: int, index: DataFrame | None = None) -> DataFrame:
-    """``contig_idx, pos, key`` of every window of ``k`` bases without N, as :func:`key_of`; with a small ``index`` (``key``) only of those in it."""
+    """``contig_idx, pos, key`` of every window of ``k`` bases without N, as :func:`key_of`; with an ``index`` (``key``) of few more than those in it."""
     if k > 31:
         return reference_kmers(ref, k).select("contig_idx", "pos", canonical(F.col("kmer")).alias("key"))
-    # the keys of an index are canonical, and of two codes the smaller is the canonical one: the other is in no index
-    return strand_codes(ref, k, index).select("contig_idx", "pos", F.least("forward", "back").alias("key"))
+    return strand_codes(ref, k, index, True).select("contig_idx", "pos", F.least("forward", "back").alias("key"))
 
 
 def kmers_at(ref: DataFrame, places: DataFrame, k: int) -> DataFrame:
@@ -173,13 +209,13 @@ def kmers_at(ref: DataFrame, places: DataFrame, k: int) -> DataFrame:
 def map_hits(ref: DataFrame, index: DataFrame, k: int, max_p: float | None = None) -> DataFrame:
     """``contig_idx, pos, key, effect, p``: every place of the reference whose k-mer is in the index, on either strand.
 
-    With an index of bounded size only matching places leave the scan; otherwise
-    both sides meet by key, repeated k-mers of the reference salted by position.
+    A bit map of the index drops most other places in the scan; the rest meet the index by
+    key, broadcast if it is small (counted).
     """
     entries = (index if max_p is None else index.filter(F.col("p") <= max_p)).select(key_of(F.col("canon"), k).alias("key"), "effect", "p")
     entries = checkpointed(entries)
     places = reference_keys(ref, k, entries)
-    return lookup_join(places, entries, ["key"], salt="pos", max_rows=_SMALL_INDEX).select("contig_idx", "pos", "key", "effect", "p")
+    return lookup_join(places, entries, ["key"], max_rows=_SMALL_INDEX).select("contig_idx", "pos", "key", "effect", "p")
 
 
 def map_dual(ref: DataFrame, hits: DataFrame, k: int) -> DataFrame:
@@ -194,8 +230,8 @@ def map_dual(ref: DataFrame, hits: DataFrame, k: int) -> DataFrame:
     else:
         windows = reference_kmers(ref, k)
         places = windows.select("contig_idx", "pos", F.col("kmer").alias("forward"), reverse_complement(F.col("kmer")).alias("back"))
-    forward = lookup_join(places, once.select(F.col("key").alias("forward"), F.col("v").alias("f")), ["forward"], "left", "pos", _SMALL_INDEX)
-    both = lookup_join(forward, once.select(F.col("key").alias("back"), F.col("v").alias("r")), ["back"], "left", "pos", _SMALL_INDEX)
+    forward = lookup_join(places, once.select(F.col("key").alias("forward"), F.col("v").alias("f")), ["forward"], "left", _SMALL_INDEX)
+    both = lookup_join(forward, once.select(F.col("key").alias("back"), F.col("v").alias("r")), ["back"], "left", _SMALL_INDEX)
     return both.withColumn("v", F.coalesce("f", "r")).filter("v is not null").select("contig_idx", "pos", "v.effect", "v.p")
 
 
@@ -224,7 +260,7 @@ def density_filter(hits: DataFrame, window: int = 100, density: float = 0.95) ->
 
 def to_genome(mapped: DataFrame, offsets: DataFrame) -> DataFrame:
     """``mapped`` with ``pos`` counted through all contigs."""
-    return lookup_join(mapped, offsets.select("contig_idx", "start"), ["contig_idx"], salt="pos").withColumn("pos", F.col("pos") + F.col("start")).drop("start")
+    return lookup_join(mapped, offsets.select("contig_idx", "start"), ["contig_idx"]).withColumn("pos", F.col("pos") + F.col("start")).drop("start")
 
 
 def map_merge_filter(contigs: DataFrame, index: DataFrame, k: int, window: int = 100, density: float = 0.95, max_p: float | None = None) -> DataFrame:
@@ -237,14 +273,14 @@ def pair_scan_input(contigs: DataFrame, index: DataFrame, candidates: DataFrame,
     """``pos, bit, effect, p``: mapped candidates of the pair scan with their bit strings, not density filtered."""
     bits = candidates.groupBy(key_of(F.col("kmer"), k).alias("key")).agg(F.min_by("bit", F.struct("p", "bit")).alias("bit"))
     mapped = to_genome(map_hits(reference(contigs), index, k), contig_offsets(contigs))
-    return lookup_join(mapped, bits, ["key"], salt="pos").select("pos", "bit", "effect", "p")
+    return lookup_join(mapped, bits, ["key"]).select("pos", "bit", "effect", "p")
 
 
 def first_positions(contigs: DataFrame, kmers: DataFrame, k: int) -> DataFrame:
     """``idx, pos``: the first genome-wide position of each k-mer (``idx, kmer``), on either strand; absent ones give none."""
     keyed = checkpointed(kmers.filter(is_kmer(F.col("kmer"), k)).select("idx", key_of(F.col("kmer"), k).alias("key")))
     index = checkpointed(keyed.select("key").distinct())
-    met = lookup_join(reference_keys(reference(contigs), k, index), index, ["key"], salt="pos", max_rows=_SMALL_INDEX)
+    met = lookup_join(reference_keys(reference(contigs), k, index), index, ["key"], max_rows=_SMALL_INDEX)
     first = to_genome(met, contig_offsets(contigs)).groupBy("key").agg(F.min("pos").alias("pos"))
     return keyed.join(first, "key").select("idx", "pos")
 
@@ -252,6 +288,6 @@ def first_positions(contigs: DataFrame, kmers: DataFrame, k: int) -> DataFrame:
 def map_pairs(pairs: DataFrame, positions: DataFrame) -> DataFrame:
     """``pos_a, pos_b, effect, p`` of pairs (``idx_a, idx_b, effect, p``) of which both ends have a position; ``pos_a`` <= ``pos_b``."""
     at = checkpointed(positions.select("idx", "pos"))
-    a = lookup_join(pairs, at.select(F.col("idx").alias("idx_a"), F.col("pos").alias("a")), ["idx_a"], salt="idx_b")
-    b = lookup_join(a, at.select(F.col("idx").alias("idx_b"), F.col("pos").alias("b")), ["idx_b"], salt="idx_a")
+    a = lookup_join(pairs, at.select(F.col("idx").alias("idx_a"), F.col("pos").alias("a")), ["idx_a"])
+    b = lookup_join(a, at.select(F.col("idx").alias("idx_b"), F.col("pos").alias("b")), ["idx_b"])
     return b.select(F.least("a", "b").alias("pos_a"), F.greatest("a", "b").alias("pos_b"), "effect", "p")

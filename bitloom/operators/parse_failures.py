@@ -107,7 +107,7 @@ def failures(parsed: DataFrame, shapes: DataFrame) -> DataFrame:
     """
     spark = parsed.sparkSession
     rules = spark.createDataFrame(RULES, "rule int, reason string, col int")
-    shaped = lookup_join(parsed, shapes, ["shard"], "left", salt="line_id")
+    shaped = lookup_join(parsed, shapes, ["shard"], "left")
     cells = shaped.select(
         "line_id", "bad_quotes", "n_fields", "k", "bit_len", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.slice("fields", 1, 2))).alias("at", "value")
     ).withColumn("col", F.col("at") - 1)

@@ -47,21 +47,12 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salt: str | None = None, max_rows: int = 100_000, salts: int = 16
-) -> DataFrame:
-    """Join a large, possibly skewed ``left`` with a narrow lookup table ``right``.
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", max_rows: int = 100_000) -> DataFrame:
+    """Join a large, possibly skewed ``left`` with a narrow lookup table ``right`` of unique keys.
 
     ``right`` is broadcast only after a count shows at most ``max_rows`` rows.
-    Beyond that both sides are shuffled, and where ``salt`` names a column of
-    ``left`` (well spread within a key) each key of ``right`` is replicated
-    ``salts`` times so that one hot key is shared by as many tasks.
-    Keys of ``right`` must be unique; null keys match nothing.
+    Beyond that both sides are shuffled, and adaptive execution splits the
+    partitions of hot keys of ``left``, to each part of which the few rows of ``right``
+    are read again. (Salting would copy all of ``right`` instead.) Null keys match nothing.
     """
-    if at_most(right, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    if salt is None:
-        return left.join(right, on, how)
-    name = "_salt_of_lookup"
-    many = right.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn(name, F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int")).join(many, [*on, name], how).drop(name)
+    return left.join(F.broadcast(right) if at_most(right, max_rows) else right, on, how)
