@@ -135,6 +135,13 @@ def shard_samples(rows: DataFrame, total: int, seed: int = 42) -> DataFrame:
     return quota_sample(rows, int(quota.first()[0]), seed)
 
 
+def sample_statistics(rows: DataFrame, total: int) -> DataFrame:
+    """``shard, seen, kept`` of :func:`shard_samples`; sum them for the whole job."""
+    seen = rows.groupBy("shard").agg(F.count("*").alias("seen"))
+    quota = seen.agg(F.ceil(F.lit(total) / F.greatest(F.count("*"), F.lit(1))).alias("quota"))  # one row
+    return seen.join(F.broadcast(quota)).select("shard", "seen", F.least("seen", "quota").alias("kept"))
+
+
 def _draw(seed: int) -> Column:
     key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("row_id", "kmer", "bit")]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *key))

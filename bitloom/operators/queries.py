@@ -96,6 +96,14 @@ def shard_quota_sample(spark, d):
     return features.shard_samples(_unique(spark, d), 1000).select("shard", "row_id")
 
 
+def sample_statistics(spark, d):
+    return features.sample_statistics(_unique(spark, d), 1000)
+
+
+def contig_header_lengths(spark, d):
+    return report.header_lengths(table(spark, d, "contigs"))
+
+
 def subsample_truncate(spark, d):
     return features.subsample(_unique(spark, d), 500).select("row_id")
 
@@ -372,9 +380,9 @@ def stream_hits_1d(spark, d):
 
 def queries():
     named = [
-        p4_found, p4_clean, overlap, kmer_freq, maf_filter, bitstring_subset, bitstring_build, shard_quota_sample, subsample_truncate,
+        p4_found, p4_clean, overlap, kmer_freq, maf_filter, bitstring_subset, bitstring_build, shard_quota_sample, sample_statistics, subsample_truncate,
         matrix_batches, corr_prefilter, scan1d_intercept, scan1d_group_covariates, hits_1d, candidates_2d, tested_counts, bonferroni, gram_matrix,
-        pca_basis, pair_basis, scan1d_pca, kmer_canonical, index_build, contig_offsets, reference_kmer_counts, map_hits, map_dual, density_filter,
+        pca_basis, pair_basis, scan1d_pca, kmer_canonical, index_build, contig_offsets, contig_header_lengths, reference_kmer_counts, map_hits, map_dual, density_filter,
         map_merge_filter, pair_scan_input, pairs2d, pairs2d_cooccurrence, pair_dictionary, pattern_classes, kmer_first_pos, map_2d_pairs,
         twoway_grid_sums, twoway_classes, twoway_interaction, twoway_joint, twoway_pca_joint, effect_percentile_filter, grid_density_bins, grid_dense_cells, grid_cell_max,
         marker_sizes, pos_to_contig, chrom_bands, filter_merge, union_parts, manhattan_points, stream_hits_1d,
@@ -540,6 +548,8 @@ ORACLE = {
     "bitstring_build": "with " + _ROWS.rstrip().rstrip(",") + " select row_id, bit from rws where contains(bit, '1')",
     "shard_quota_sample": "with " + _ROWS + """q as (select ceil(1000 / count(distinct shard)) as quota from rws)
       select shard, row_id from rws, q qualify row_number() over (partition by shard order by md5(concat('42|', row_id, '|', kmer, '|', bit)), row_id) <= quota""",
+    "sample_statistics": "with " + _ROWS + "q as (select ceil(1000 / count(distinct shard))::bigint as quota from rws) select shard, count(*) as seen, least(count(*), any_value(quota)) as kept from rws, q group by 1",
+    "contig_header_lengths": r"select distinct contig_idx, name, regexp_extract(name, 'length_(\d+)', 1)::bigint as len from contigs where contig_idx is not null and regexp_extract(name, 'length_(\d+)', 1) <> ''",
     "subsample_truncate": "with " + _ROWS.rstrip().rstrip(",") + " select row_id from rws order by md5(concat('42|', row_id, '|', kmer, '|', bit)), row_id limit 500",
     "matrix_batches": "with " + _ROWS + "s as (select shard, ((row_number() over (order by shard) - 1) // 10)::int as batch from (select distinct shard from rws)) select row_id, batch from rws join s using (shard)",
     "corr_prefilter": "with " + _ONE.rstrip().rstrip(",") + f" select row_id, round(r, 9) as r from scanned {_NEAR}",

@@ -121,6 +121,12 @@ def chromosome_bands(offsets: DataFrame) -> DataFrame:
     return bands.withColumn("mid", (F.col("first") + F.col("last")) / 2)
 
 
+def header_lengths(contigs: DataFrame) -> DataFrame:
+    """``contig_idx, name, len`` of contigs whose name tells their length (``length_`` and a number); redelivered ones once, others are left out."""
+    told = contigs.select("contig_idx", "name", F.regexp_extract("name", r"length_(\d+)", 1).alias("t")).filter("contig_idx is not null and t <> ''")
+    return told.groupBy("contig_idx").agg(F.max(F.struct("name", F.col("t").cast("bigint").alias("len"))).alias("s")).select("contig_idx", "s.name", "s.len")
+
+
 def locate(points: DataFrame, offsets: DataFrame, block: int = 1_000_000) -> DataFrame:
     """``points`` (genome-wide ``pos``) with ``contig_idx, local``; positions beyond all contigs get null.
 

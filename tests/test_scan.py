@@ -150,3 +150,10 @@ def test_pattern_classes_and_dictionary(spark, data):
     assert reps == {i: min(j for j in range(60) if np.array_equal(x[i], x[j])) for i in range(60)}
     named = pairs2d.renumbered(once, K).orderBy("idx").collect()
     assert [r.idx for r in named] == list(range(len(named))) and [r.kmer for r in named] == sorted(r.kmer for r in named)
+
+
+def test_sample_statistics(spark, data):
+    once = features.unique_rows(data[0], K, N)
+    got = {r.shard: (r.seen, r.kept) for r in features.sample_statistics(once, 10).collect()}
+    assert got == {"s0": (20, 4), "s1": (20, 4), "s2": (20, 4)}
+    assert features.sample_statistics(once.limit(0), 10).count() == 0

@@ -84,3 +84,8 @@ def test_points_sizes_thresholds(spark):
     sizes = [r.size for r in report.marker_sizes(counts, "tested").orderBy("tested").collect()]
     assert sizes == [2.5, 8.0]
     assert {r.size for r in report.marker_sizes(counts.withColumn("tested", F.lit(1)), "tested").collect()} == {2.5}
+
+
+def test_header_lengths(spark):
+    df = spark.createDataFrame([(1, "NODE_1_length_438_cov_2"), (1, "NODE_1_length_438_cov_2"), (2, "Chr2"), (3, None), (None, "x_length_5")], "contig_idx bigint, name string")
+    assert [tuple(r) for r in report.header_lengths(df).collect()] == [(1, "NODE_1_length_438_cov_2", 438)]
