@@ -11,7 +11,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitloom.plans.runtime import checkpointed
@@ -22,8 +22,8 @@ READ_AS = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250"
 #: Encodings it may have been written in, in (fixed values).
 WRITTEN_AS = ["utf-8", "cp1252", "cp850", "cp437", "mac_roman", "cp1250", "cp1254", "cp1251", "koi8_r", "cp866", "cp852", "cp1253", "cp1257", "iso8859_2", "gb18030", "cp932", "euc_jp", "cp949", "big5", "koi8_u"]
 
-#: Size of the table of letter pairs; 4 bytes each, whatever the corpus.
-PAIRS = 1 << 20
+#: Size of the table of letter pairs, and groups of repositories that are counted apart; 4 bytes for each of both, whatever the corpus.
+PAIRS, GROUPS = 1 << 20, 16
 
 _HAN, _DRAWING = 5, 7
 _REMEMBERED, _SHORT = 200_000, 40  # words a worker remembers, and how long one may be
@@ -110,10 +110,18 @@ def pair_codes(text: str) -> np.ndarray:
 
 
 class Mender:
-    """Judges and repairs texts, given in how many documents each letter pair occurs."""
+    """Judges and repairs texts, given in how many different documents each letter pair occurs.
 
-    def __init__(self, seen: np.ndarray, documents: int):
-        self.seen, self.documents = seen, max(documents, 1)
+    ``seen`` has a row for each group of repositories, and a last one for documents of no
+    repository or with copies in several groups; ``slot`` has the column of each letter pair, and ``documents`` how many each row counts.
+    """
+
+    def __init__(self, slot: np.ndarray, seen: np.ndarray, documents: np.ndarray):
+        self.slot, self.seen, self.documents = slot, seen, documents
+        self.everywhere = seen.sum(0)
+        # the two groups of repositories in which each pair occurs most
+        self.first, self.second = np.argsort(-seen[:-1], 0, kind="stable")[:2]
+        self.group, self.text, self.copied = None, "", None
         self.kinds = _classes()
         self.likely = (self.kinds > 0) & (self.kinds < 8)
         self.written = self.likely & (self.kinds != _DRAWING)  # likely, and no drawing
@@ -139,12 +147,35 @@ class Mender:
 
     # -- cost -------------------------------------------------------------
 
+    def about(self, text: str, group: int) -> None:
+        """From now on the lines of ``text`` are judged, by the counts of other repositories where those are the most."""
+        apart = group < GROUPS and 2 * self.documents[group] <= self.documents.sum()
+        self.group = group if apart else None
+        self.text, self.copied = text, None
+
+    def _counts_itself(self) -> bool:
+        """Whether the document itself, or a copy of it, may be among those counted."""
+        if self.copied is None:
+            pairs = self.slot[pair_codes("\n".join(line for line in self.text.split("\n") if not line.isascii()))]
+            self.copied = self.group is None or bool(self.seen[-1, pairs].all())
+        return self.copied
+
     def _bits(self, at: np.ndarray, own: bool) -> np.ndarray:
-        n = np.maximum(self.seen[at] - 1, 0) if own else self.seen[at]
-        return np.log2((self.documents + 1.0) / (n + 0.25)).clip(0)
+        columns = self.slot[at]
+        n, documents, first = self.everywhere[columns], self.documents.sum(), self.first[columns]
+        most = documents / 2
+        if self.group is not None:
+            n, documents = n - self.seen[self.group, columns], documents - self.documents[self.group]
+            first = np.where(first == self.group, self.second[columns], first)
+        # nor does one group alone make a pair normal
+        rest = documents - self.documents[first]
+        n, documents = np.where(rest >= most, n - self.seen[first, columns], n), np.where(rest >= most, rest, documents)
+        if own and self._counts_itself():
+            n = np.maximum(n - 1, 0)
+        return np.log2((np.maximum(documents, 1) + 1.0) / (n + 0.25)).clip(0)
 
     def suspects(self, lines: list[str]) -> list[str]:
-        """The lines with impossible signs or mostly rare letter pairs, leaving out the document itself."""
+        """The lines with impossible signs or mostly rare letter pairs, leaving out the document itself, its copies and its repository."""
         at, of = _pairs("\n".join(lines))
         bits = np.bincount(of, self._bits(at, True), len(lines))
         mean = bits / np.maximum(np.bincount(of, minlength=len(lines)), 1)
@@ -379,55 +410,83 @@ def _strange(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("text").rlike(r"[^\x01-\x7f]"))
 
 
+def _beyond_ascii() -> Column:
+    """The different lines of a text with anything beyond ASCII, in order: all that its letter pairs come from."""
+    lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x00-\x7f]"))
+    return F.array_join(F.array_sort(F.array_distinct(lines)), "\n")
+
+
+def _group(docs: DataFrame) -> Column:
+    """The group of a document's repository; GROUPS for one without a repository, which stands for itself."""
+    if "repo" not in docs.columns:
+        return F.lit(GROUPS)
+    return F.when(F.col("repo").isNull(), GROUPS).otherwise(F.pmod(F.xxhash64("repo"), F.lit(GROUPS)).cast("int"))
+
+
 def pair_counts(docs: DataFrame) -> DataFrame:
-    """``pair, n``: in how many documents of all each letter pair (by its place in the table) occurs; pair -1 counts the documents."""
+    """``pair, n``: in how many different documents each letter pair (by its place in the table) occurs; pair -1 counts the documents.
+
+    ``n`` has a number for each group of repositories, and a last one for documents of no repository or with copies in several of them.
+    Documents with the same lines beyond ASCII are copies and count once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, documents = np.zeros(PAIRS, np.int64), 0
+        seen, documents = {}, {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen[np.unique(pair_codes(text))] += 1
-                documents += 1
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[documents, seen[at]])], ["pair", "n"])
-
-    return _strange(docs).select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+            for text, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if group not in seen:
+                    seen[group], documents[group] = np.zeros(PAIRS, np.int32), 0
+                seen[group][np.unique(pair_codes(text))] += 1
+                documents[group] += 1
+        for group, counts in seen.items():
+            at = np.flatnonzero(counts)
+            groups = np.full(len(at) + 1, group, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(groups), pa.array(np.r_[documents[group], counts[at]].astype(np.int64))], ["pair", "group", "n"])
+
+    copies = _strange(docs).select(_beyond_ascii().alias("lines"), _group(docs).alias("group")).filter("lines != ''").groupBy("lines").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    once = copies.select("lines", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(GROUPS).alias("group"))
+    numbers = F.array(*(F.sum(F.when(F.col("group") == g, F.col("n")).otherwise(0)) for g in range(GROUPS + 1)))
+    return once.mapInArrow(run, "pair bigint, group int, n bigint").groupBy("pair").agg(numbers.alias("n"))
 
 
 def mended_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, text``: every document of which a passage was read in another encoding than it was written in, repaired.
 
-    Needs ``doc_id, text``; other columns are dropped. ``text`` is null where
+    Needs ``doc_id, text``; ``repo`` is used where there is one, other columns are dropped. ``text`` is null where
     signs of the original are lost. A document with null, empty or plain ASCII text
     is no case. Repeated rows give one row per ``doc_id`` (null ids one).
 
     Round trip: text is encoded as it may have been read and strictly decoded as
     it may have been written, layer by layer, and the reading is taken where a garbling cost
     drops. The cost adds up signs that no language writes and the rarity of
-    letter pairs, counted over all documents into a table of fixed size (4 MB,
-    the one thing broadcast).
+    letter pairs, counted over the different texts of all documents into a table of bounded size (4 MB,
+    and 68 bytes a letter pair that occurs; the one thing broadcast). Copies of a text count once, and a
+    document is judged without its copies, its repository and the repositories in which a pair occurs most,
+    so a garbling that is common does not pass for normal. Only a group of repositories with most of all texts judges itself.
     """
     spark = docs.sparkSession
     counts = checkpointed(pair_counts(docs))
-    seen, documents = np.zeros(PAIRS, np.int32), 0
+    slot, columns, documents = np.zeros(PAIRS, np.int32), [np.zeros(GROUPS + 1, np.int32)], np.zeros(GROUPS + 1, np.int64)
     for row in counts.toLocalIterator():  # at most PAIRS rows
         if row.pair < 0:
-            documents = row.n
+            documents = np.array(row.n)
         else:
-            seen[row.pair] = min(row.n, 2**31 - 1)
-    shared = spark.sparkContext.broadcast((seen, documents))
+            slot[row.pair] = len(columns)
+            columns.append(np.minimum(row.n, 2**31 - 1).astype(np.int32))
+    shared = spark.sparkContext.broadcast((slot, np.ascontiguousarray(np.array(columns).T), documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mender = Mender(*shared.value)
         for batch in batches:
             ids, texts = [], []
-            for key, text in zip(batch.column(0), batch.column(1).to_pylist()):
+            for key, text, group in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                mender.about(text, group)
                 found, mended = mender.mend(text)
                 if found:
                     ids.append(key.as_py())
                     texts.append(mended)
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    used = _strange(docs).select("doc_id", "text")
+    used = _strange(docs).select("doc_id", "text", _group(docs).alias("group"))
     cases = used.mapInArrow(run, f"doc_id {used.dtypes[0][1]}, text string")
     return cases.groupBy("doc_id").agg(F.max("text").alias("text"))

@@ -82,3 +82,21 @@ def test_repeats_long_texts_and_empty_tables(spark, corpus):
     got = found(spark, corpus, [(1, garbled), (1, garbled), (None, garbled), (2, long)])
     assert set(got) == {1, None, 2} and got[2].endswith(LINES["de"])
     assert found(spark, [], []) == {}
+
+
+CZECH = "# nejdřív přečte řádek a příště uloží během dne"
+
+
+def test_common_garbling_is_no_proof_of_itself(spark, corpus):
+    bad, good = (CODE + line + "\n" + CODE for line in (wrong(CZECH, "cp1250", "cp1252"), CZECH))
+    bads = [CODE + wrong(f"# řada {w} příště během řídký", "cp1250", "cp1252") for w in ("dne", "noci", "roku", "týdne", "léta")]
+    rows = [(i, t, f"r{i % 40}") for i, t in corpus]
+    rows += [(5000 + i, good.replace("dne", f"dne {i}"), f"r{i % 40}") for i in range(30)]
+    # a third of the rows are copies, slightly changed in other lines too
+    rows += [(i, bad if i % 2 else f"# {i}\n{bad}", f"r{i % 40}") for i in range(120)]
+    rows += [(200 + i, bads[i % 5].replace("#", f"# {i}"), "giant") for i in range(40)]  # different texts of one repository
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, repo string").repartition(3)
+    got = {r.doc_id: r.text for r in mojibake.mended_documents(df).collect()}
+    assert set(got) == {*range(120), *range(200, 240)} and got[1] == good and got[0] == "# 0\n" + good
+    known = corpus + [(5000 + i, good.replace("dne", f"dne {i}")) for i in range(30)]
+    assert set(found(spark, known, [(i, bad) for i in range(120)])) == set(range(120))
