@@ -11,6 +11,7 @@ import hashlib
 import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
+from functools import cache
 
 import numpy as np
 from pyspark.errors import AnalysisException
@@ -22,7 +23,11 @@ from bitloom.operators import features, mapping, pairs2d, report, scan1d, struct
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of the single-feature and pair analysis."""
+    """Parameters of the single-feature and pair analysis.
+
+    ``reservoir`` and ``seed`` hold for the table ``sample``, which no other stage reads; ``subsample`` is without effect,
+    as bases come from all features.
+    """
 
     k: int = 51
     rank: int = 3
@@ -99,6 +104,7 @@ def run_association(
 ) -> tuple[dict[str, DataFrame | None], list[tuple[str, str]]]:
     """All tables of the single-feature and pair analysis, and what was done for each.
 
+    Bases come from all features that pass the frequency filter, in one pass for both.
     ``inputs`` names the version of the inputs; a new one makes everything anew. Tables: ``sample``,
     ``basis``, ``basis_2d``, ``hits``, ``counts``, ``threshold``, ``index``, ``mapped``, ``points`` and, with pairs,
     ``candidates``, ``dictionary``, ``pairs``, ``mapped_pairs``.
@@ -111,15 +117,16 @@ def run_association(
     valid = features.valid_rows(rows, s.k, bits)
     out: dict[str, DataFrame | None] = {}
 
+    @cache
     def bases() -> tuple[np.ndarray, np.ndarray]:
-        common = features.maf_filter(out["sample"], d, s.maf_percent)
-        return structure.covariate_bases(features.subsample(common, s.subsample, s.seed), d, s.rank, s.zscore)
+        common = features.maf_filter(features.unique_rows(rows, s.k, bits), d, s.maf_percent)
+        return structure.covariate_bases(common, d, s.rank, s.zscore)
 
     def add(name: str, params: list[str], after: list[str], build: Callable[[], DataFrame]) -> None:
         out[name] = st.table(name, {p: asdict(s)[p] for p in params} | {"inputs": inputs}, after, build)
 
     add("sample", ["k", "reservoir", "seed"], [], lambda: features.shard_samples(features.unique_rows(rows, s.k, bits), s.reservoir, s.seed))
-    add("basis", ["rank", "zscore", "maf_percent", "subsample", "seed"], ["sample"], lambda: structure.basis_table(spark, d, bases()[0]))
+    add("basis", ["k", "rank", "zscore", "maf_percent"], [], lambda: structure.basis_table(spark, d, bases()[0]))
     adjusted = lambda name: _basis(d, out[name])
     add("hits", ["min_corr", "log10_p"], ["basis"], lambda: scan1d.scan(valid, adjusted("basis"), s.min_corr, s.log10_p))
     add("counts", ["k", "min_corr"], [], lambda: scan1d.tested_counts(valid, d, s.min_corr))
@@ -128,7 +135,7 @@ def run_association(
     add("mapped", ["window", "density", "map_log10_p"], ["index"], lambda: mapping.map_merge_filter(contigs, out["index"], s.k, s.window, s.density, 10**-s.map_log10_p))
     add("points", [], ["mapped"], lambda: report.manhattan_points(out["mapped"]))
     if s.pairs:
-        add("basis_2d", ["rank", "zscore", "maf_percent", "subsample", "seed"], ["sample"], lambda: structure.basis_table(spark, d, bases()[1]))
+        add("basis_2d", ["k", "rank", "zscore", "maf_percent"], [], lambda: structure.basis_table(spark, d, bases()[1]))
         add("candidates", ["min_corr", "log10_p", "log10_p_2d_input"], ["basis"], lambda: scan1d.candidates(valid, adjusted("basis"), s.min_corr, s.log10_p, s.log10_p_2d_input))
         add("dictionary", ["k"], ["candidates"], lambda: pairs2d.renumbered(out["candidates"], s.k))
         add("pairs", ["log10_p_2d"], ["dictionary", "basis_2d"], lambda: pairs2d.scan_pairs(out["dictionary"], adjusted("basis_2d"), s.log10_p_2d))

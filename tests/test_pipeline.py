@@ -2,6 +2,7 @@ from datetime import datetime
 
 import numpy as np
 
+from bitloom.operators import features, structure
 from bitloom.plans import pipeline
 
 K, N = 11, 40
@@ -50,3 +51,29 @@ def test_two_populations_end_to_end(spark, tmp_path):
     out, log = pipeline.run_two_populations(*args, pipeline.TwoWaySettings(2, 1))
     assert out.count() == 70 and log == [("twoway", "ran")]
     assert pipeline.run_two_populations(*args, pipeline.TwoWaySettings(2, 1))[1] == [("twoway", "kept")]
+
+
+def test_bases_come_from_all_features(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    centre = rng.random((2, N)) < 0.5
+    rows = []
+    for i in range(600):  # two thirds of the rows, of a structure of their own, lie in one shard of five
+        giant = i % 3 > 0
+        bit = np.where(rng.random(N) < 0.2, rng.random(N) < 0.5, centre[int(giant)]).astype(int)
+        rows.append((i, "giant" if giant else f"s{i % 4}", "".join(rng.choice(list("ACGT"), K)), "".join(map(str, bit)), datetime(2024, 1, 1)))
+    rows.append((*rows[0][:3], "1" * N, datetime(2023, 1, 1)))  # redelivered, counts once
+    df = spark.createDataFrame(rows, "row_id bigint, shard string, kmer string, bit string, loaded_at timestamp")
+    samples = spark.createDataFrame([(i, f"id{i}") for i in range(N)], "ord int, sample_id string")
+    phenotype = spark.createDataFrame([(i, f"id{i}", float(v)) for i, v in enumerate(rng.normal(size=N))], "line_no int, sample_id string, y double")
+    contigs = spark.createDataFrame([(0, "Chr1", "A" * 50, datetime(2024, 1, 1))], "contig_idx bigint, name string, seq string, loaded_at timestamp")
+    s = pipeline.Settings(k=K, rank=2, reservoir=50, subsample=30)
+    out, _ = pipeline.run_association(df, samples, phenotype, contigs, str(tmp_path / "results"), s)
+    assert out["sample"].count() == 50
+    x = np.array([[int(c) for c in r[3]] for r in rows[:-1]], float)
+    x = x[np.minimum(x.mean(1), 1 - x.mean(1)) >= 0.05]
+    scores = structure.component_scores(x.T @ x, 2)
+    one = np.ones((N, 1))
+    for name, columns in (("basis", [one, scores]), ("basis_2d", [one, scores, structure.pair_products(scores)])):
+        want = structure.orthonormal(np.hstack(columns))
+        got = pipeline._basis(features.design(samples, phenotype), out[name]).basis
+        np.testing.assert_allclose(got @ got.T, want @ want.T, atol=1e-9)
