@@ -40,6 +40,11 @@ _RUNS = re.compile(r"[^\x00-\x7f]{2}")
 _WORD = re.compile(r"[A-Za-z]*[^\x00-\x7f](?:[A-Za-z]|[^\x00-\x7f])*")
 _MULTIBYTE = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}")
 _LITERAL = re.compile(r"""(["'`])([^\x00-\x7f]{1,24})\1""")
+_PLAIN = re.compile(r"[\t\n\r -~]")
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+_PLAIN_RUN = re.compile(r"[\t\n\r -~]{8,}")
+#: Signs of UTF-16 read as one-byte text of which one byte is zero.
+_WIDE = {"utf-16-le": re.compile(r"(?:[\t\n\r -~\xa0-\xff]\x00){4,}"), "utf-16-be": re.compile(r"(?:\x00[\t\n\r -~\xa0-\xff]){4,}")}
 _QUOTED = re.compile(r"""(["'`])([^"'`\n]{1,24})\1""")
 
 #: Letters of languages written in Latin script and signs of ordinary typography, besides whole blocks below (fixed values).
@@ -331,6 +336,68 @@ class Mender:
                     best, most = read, drop
         return best
 
+    def _utf16(self, text: str, name: str) -> str | None:
+        """``text`` read in UTF-16, if it can be and all its signs are likely."""
+        raw = self.bytes_of(text, "cp1252")
+        try:
+            read = None if raw is None else raw.decode(name)
+        except UnicodeDecodeError:
+            return None
+        return read if read is not None and self.plausible(read) else None
+
+    def _between(self, gap: str, name: str) -> bool:
+        """Whether what lies between two stretches of UTF-16 is UTF-16 too, and no plain text."""
+        plain = len(_PLAIN.findall(gap))
+        if len(gap) % 2 or plain > 0.8 * len(gap) and "\n" in gap:
+            return False
+        return self._utf16(gap, name) is not None
+
+    def _mended_wide(self, text: str, name: str) -> tuple[str, int]:
+        """``text`` with its stretches of UTF-16 read as such and the rest as it is, and how many of their ends are ends of lines."""
+        spans: list[list[int]] = []
+        for m in _WIDE[name].finditer(text):
+            if spans and self._between(text[spans[-1][1] : m.start()], name):
+                spans[-1][1] = m.end()
+            else:
+                spans.append([m.start(), m.end()])
+
+        def wide(pair: str) -> bool:
+            return len(pair) == 2 and len(_PLAIN.findall(pair)) < 2 and self._utf16(pair, name) is not None
+
+        parts, last, whole = [], 0, 0
+        for k, (start, end) in enumerate(spans):
+            stop = spans[k + 1][0] if k + 1 < len(spans) else len(text)
+            while start - 2 >= last and wide(text[start - 2 : start]):
+                start -= 2
+            while end + 2 <= stop and wide(text[end : end + 2]):
+                end += 2
+            read = self._utf16(text[start:end], name) or text[start:end]
+            whole += (not start or text[start - 1] == "\n") + (end == len(text) or read.endswith("\n"))
+            parts += [text[last:start], read]
+            last = end
+        return "".join([*parts, text[last:]]), whole
+
+    def _mended_utf16(self, text: str) -> str:
+        """``text`` with all UTF-16 in it read as such, or as it is."""
+        for name, zeros, others in (("utf-16-le", text[1::2], text[::2]), ("utf-16-be", text[::2], text[1::2])):
+            # of the whole text: one byte of each pair is zero wherever the sign was ASCII
+            if len(text) % 2 == 0 and zeros.count("\x00") > max(0.1 * len(zeros), 4 * others.count("\x00")):
+                raw = self.bytes_of(text, "cp1252")
+                try:
+                    read = "" if raw is None else raw.decode(name)
+                except UnicodeDecodeError:
+                    continue
+                # bytes of Han and kana may look like plain text, but not for long
+                plain = max((len(r) for r in _PLAIN_RUN.findall(text)), default=0)
+                if read and plain < 24 and self.likely[[ord(c) for c in read]].mean() >= (1 if plain else 0.9):
+                    return read
+        ways = []
+        for first, second in (("utf-16-le", "utf-16-be"), ("utf-16-be", "utf-16-le")):
+            read, whole = self._mended_wide(text, first)
+            read, more = self._mended_wide(read, second)
+            ways.append((len(_CONTROL.findall(read)), -whole - more, self.oddity(read), read))
+        return min(ways, key=lambda w: w[:3])[3]  # in plain letters both byte orders read alike
+
     # -- texts --------------------------------------------------------------
 
     def _meant(self, line: str) -> str:
@@ -356,17 +423,12 @@ class Mender:
 
     def mend(self, text: str) -> tuple[bool, str | None]:
         """Whether a passage of ``text`` was read wrongly, and the text restored (None where signs are lost)."""
+        found, lost = False, False
         if "\x00" in text:
-            for name, zeros, others in (("utf-16-le", text[1::2], text[::2]), ("utf-16-be", text[::2], text[1::2])):
-                # one byte of each pair is zero wherever the sign was ASCII
-                if zeros.count("\x00") > max(0.1 * len(zeros), 4 * others.count("\x00")):
-                    raw = self.bytes_of(text, "cp1252")
-                    try:
-                        return True, None if raw is None else raw.decode(name)
-                    except UnicodeDecodeError:
-                        return True, None
+            read = self._mended_utf16(text)
+            if read != text:
+                found, lost, text = True, "\x00" in read, read
         lines = text.split("\n")
-        found, lost = False, False
         open_: dict[str, list[int]] = {}
         for i, line in enumerate(lines):
             if line.isascii() or not line.strip():

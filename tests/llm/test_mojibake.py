@@ -100,3 +100,18 @@ def test_common_garbling_is_no_proof_of_itself(spark, corpus):
     assert set(got) == {*range(120), *range(200, 240)} and got[1] == good and got[0] == "# 0\n" + good
     known = corpus + [(5000 + i, good.replace("dne", f"dne {i}")) for i in range(30)]
     assert set(found(spark, known, [(i, bad) for i in range(120)])) == set(range(120))
+
+
+@pytest.mark.parametrize("order", ["utf-16-le", "utf-16-be"])
+def test_utf16_passages(spark, corpus, order):
+    part = "entry 17: naïve café, ждёт ключ, 重新读取 end\n"
+    lines = [f"value_{i} = {i}  # plain text Z\n" for i in range(400)]
+    docs = {
+        1: ([*lines, wrong(part, order, "latin-1")], [*lines, part]),  # one appended line of a long file
+        2: ([*lines[:100], wrong(part, order, "latin-1"), *lines[100:], wrong(part, order, "latin-1")], [*lines[:100], part, *lines[100:], part]),
+        3: ([*lines[:3], wrong(part * 4, order, "latin-1"), *lines[3:5]], [*lines[:3], part * 4, *lines[3:5]]),  # more than a tenth
+        4: ([wrong(CODE + "x", order, "latin-1")[:-1] if order == "utf-16-le" else wrong(CODE, order, "latin-1")], [CODE + "x" if order == "utf-16-le" else CODE]),  # of odd length
+        5: ([wrong(CODE + part * 3, order, "latin-1")], [CODE + part * 3]),
+    }
+    got = found(spark, corpus, [(i, "".join(bad)) for i, (bad, _) in docs.items()] + [(9, "a\x00b = 1\nc\x00 = 2\n")])
+    assert got == {i: "".join(good) for i, (_, good) in docs.items()}
