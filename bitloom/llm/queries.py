@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from bitloom.llm import mojibake, packing, percentiles, sampling, splitting, tokenizer, top_n
-from bitloom.plans.runtime import table
+from bitloom.plans.runtime import checkpointed, table
 
 
 def p1_found(spark, d):
@@ -35,8 +37,11 @@ def p5_day_summaries(spark, d):
 
 
 def p5_span(spark, d):
-    """The percentiles of all but the first and last ten days' worth of summaries, out of what was kept per day."""
-    return percentiles.span_percentiles(percentiles.day_summaries(table(spark, d, "pairs")), "2024-03-14", "2024-04-21")
+    """The percentiles of all but the first and last ten days' worth of summaries (of fewer days the middle), out of what was kept per day."""
+    kept = checkpointed(percentiles.day_summaries(table(spark, d, "pairs")))  # read for its ends, then for the span
+    margin = "cast(least(10, floor(datediff(max(run_day), min(run_day)) / 2)) as int)"
+    low, high = kept.agg(F.expr(f"cast(date_add(min(run_day), {margin}) as string)"), F.expr(f"cast(date_sub(max(run_day), {margin}) as string)")).first()  # one row
+    return percentiles.span_percentiles(kept, low, high)
 
 
 def p6_ids(spark, d):

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from bitloom.llm import percentiles as p
+from bitloom.llm import queries
 
 PAIRS = "trait string, idx_a bigint, idx_b bigint, effect double, pval double, run_day date, written_at timestamp, value string, n int"
 PCTS = [1, 5, 25, 50, 75, 95, 99]
@@ -77,3 +78,12 @@ def test_summaries_are_small_and_weigh_all(spark):
 def test_empty(spark, rows):
     none = spark.createDataFrame(rows, PAIRS).limit(0)
     assert p.trait_percentiles(none).count() == 0 and p.span_percentiles(p.day_summaries(none)).count() == 0
+
+
+@pytest.mark.parametrize(("days", "used"), [(45, range(10, 35)), (21, [10]), (7, [3])])
+def test_the_span_follows_the_days_of_the_data(spark, tmp_path, days, used):
+    rows = [("t", i, i + 1, float(i), 0.5, date(2031, 1, 1) + timedelta(days=i // 10), datetime(2031, 1, 1), "", 0) for i in range(10 * days)]
+    spark.createDataFrame(rows, PAIRS).write.parquet(str(tmp_path / "pairs.parquet"))
+    got = {(r.measure, r.pct): r for r in queries.p5_span(spark, str(tmp_path)).collect()}
+    assert {r.n for r in got.values()} == {10 * len(used)}
+    assert 10 * used[0] <= got["effect", 1.0].value <= got["effect", 99.0].value < 10 * (used[-1] + 1)
