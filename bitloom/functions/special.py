@@ -9,7 +9,17 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FAR = 26.0  # beyond this erfc is below 1e-295 and taken as 0
+_FAR = 38.7  # beyond this erfc is 0 in double precision by far, and so is the exponential it is made of
+
+
+def log_erfc(x: float) -> float:
+    """The logarithm of erfc for x >= 0, also where erfc itself is too small for a double."""
+    if x < 20:
+        return math.log(math.erfc(x))
+    f = 0.0
+    for i in range(60, 0, -1):  # continued fraction from its far end
+        f = i / 2 / (x + f)
+    return -x * x - math.log(x + f) - math.log(math.pi) / 2
 
 
 @cache
@@ -19,7 +29,7 @@ def erfc_polynomial() -> tuple[float, ...]:
     v = np.cos(np.pi * (np.arange(28) + 0.5) / 28)
     t = (v + 1) / 2 * (1 - low) + low
     x = 2 / t - 2
-    values = np.array([math.log(math.erfc(a) / b) + a * a for a, b in zip(x, t)])
+    values = np.array([log_erfc(a) - math.log(b) + a * a for a, b in zip(x, t)])
     cheb = np.polynomial.chebyshev.chebfit(v, values, 27)
     return tuple(float(c) for c in np.polynomial.chebyshev.cheb2poly(cheb)[::-1])
 
@@ -88,11 +98,10 @@ def chi2_sf(x: float, k: float) -> float:
 @cache
 def statistic_cut(log10_p: float) -> float:
     """The least T with erfc(sqrt(T / 2)) <= 10^-log10_p."""
-    low, high = 0.0, 2 * _FAR**2
+    low, high, wanted = 0.0, 10.0 + 5 * max(log10_p, 0.0), -log10_p * math.log(10)
     for _ in range(200):
         mid = (low + high) / 2
-        p = math.erfc(math.sqrt(mid / 2))
-        low, high = (low, mid) if p <= 10**-log10_p else (mid, high)
+        low, high = (low, mid) if log_erfc(math.sqrt(mid / 2)) <= wanted else (mid, high)
     return high
 
 

@@ -10,7 +10,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bitloom.functions.kmers import is_kmer
-from bitloom.plans.runtime import lookup_join
+from bitloom.plans.runtime import at_most, checkpointed, lookup_join
+
+#: Keys delivered more than once up to which they are broadcast (8 bytes each).
+_REPEATED = 2_000_000
+
+#: Parts by which the draws of a sample are counted before any row is moved.
+_DRAW_PARTS = 1 << 16
 
 
 def latest(df: DataFrame, keys: list[str], when: str, columns: list[str]) -> DataFrame:
@@ -19,6 +25,25 @@ def latest(df: DataFrame, keys: list[str], when: str, columns: list[str]) -> Dat
     return df.groupBy(*keys).agg(last.alias("_last")).select(*keys, *(F.col("_last")[c].alias(c) for c in columns))
 
 
+def latest_rows(rows: DataFrame, keys: list[str], when: str, columns: list[str], given: DataFrame | None = None, max_repeated: int = _REPEATED) -> DataFrame:
+    """As :func:`latest`, for wide tables of which few keys come more than once.
+
+    Keys are counted first, by their hash and without the other columns. Rows of
+    keys that come once are taken as they are; only the rest is shuffled with its columns. Where more than
+    ``max_repeated`` keys are repeated (counted), all rows are grouped as in :func:`latest`.
+    ``given`` is the table as it was before rows were left out, if that saves a filter: its keys include those of ``rows``.
+    Null keys are keys like any other.
+    """
+    key = F.xxhash64(*keys).alias("_key")
+    seen = (rows if given is None else given).select(key).groupBy("_key").agg(F.count("*").alias("_c"))
+    repeated = checkpointed(seen.filter("_c > 1").select("_key"))
+    if not at_most(repeated, max_repeated):
+        return latest(rows, keys, when, columns)
+    marked = rows.select(*dict.fromkeys([*keys, when, *columns]), key)
+    once = marked.join(F.broadcast(repeated), "_key", "left_anti").select(*keys, *columns)
+    return once.unionByName(latest(marked.join(F.broadcast(repeated), "_key", "left_semi"), keys, when, columns))
+
+
 def phenotype_values(phenotype: DataFrame) -> DataFrame:
     """``sample_id, y``: the last valid line of each sample; null and NaN values and null ids are left out."""
     valid = phenotype.filter("sample_id is not null and y is not null and not isnan(y)")
@@ -84,8 +109,8 @@ def strict_rows(rows: DataFrame, k: int, bits: int) -> DataFrame:
 
 
 def unique_rows(rows: DataFrame, k: int, bits: int) -> DataFrame:
-    """``row_id, shard, kmer, bit`` of valid rows, redelivered ones once (the latest), k-mers in upper case."""
-    last = latest(valid_rows(rows, k, bits), ["row_id"], "loaded_at", ["shard", "kmer", "bit"])
+    """``row_id, shard, kmer, bit`` of valid rows, redelivered ones once (the latest), k-mers in upper case; bit strings of rows delivered once are not shuffled."""
+    last = latest_rows(valid_rows(rows, k, bits), ["row_id"], "loaded_at", ["shard", "kmer", "bit"], rows)
     return last.withColumn("kmer", F.upper("kmer"))
 
 
@@ -117,18 +142,25 @@ def presence(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", at).filter("b = '1'").select("row_id", "ord")
 
 
-def bit_strings(present: DataFrame, samples: int) -> DataFrame:
-    """``row_id, bit`` out of the long form; a group is at most as long as the sample axis."""
-    have = present.groupBy("row_id").agg(F.collect_set("ord").alias("o"))
-    sign = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.when(F.array_contains("o", i), "1").otherwise("0"))
-    return have.select("row_id", F.array_join(sign, "").alias("bit"))
+def bit_strings(present: DataFrame, samples: int, ids: DataFrame | None = None) -> DataFrame:
+    """``row_id, bit`` out of the long form; rows of ``ids`` (``row_id``) that no sample has come out as zeros.
+
+    Bits are gathered into words of 60, so that a row takes a few numbers while it is grouped. Places beyond ``samples`` are left out.
+    """
+    marks = present.select("row_id", "ord").filter((F.col("ord") >= 0) & (F.col("ord") < samples))
+    if ids is not None:
+        marks = marks.unionByName(ids.select("row_id", F.lit(None).cast("int").alias("ord")))
+    words = [(low, min(60, samples - low)) for low in range(0, samples, 60)]
+    here = lambda low, size: F.when((F.col("ord") >= low) & (F.col("ord") < low + size), F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("ord") - low).cast("int")))
+    have = marks.groupBy("row_id").agg(*(F.bit_or(here(low, size)).alias(f"w{i}") for i, (low, size) in enumerate(words)))
+    text = [F.reverse(F.lpad(F.bin(F.coalesce(f"w{i}", F.lit(0).cast("bigint"))), size, "0")) for i, (low, size) in enumerate(words)]
+    return have.select("row_id", (F.concat(*text) if text else F.lit("")).alias("bit"))
 
 
 def shard_samples(rows: DataFrame, total: int, seed: int = 42) -> DataFrame:
     """Of each shard its quota, the total shared evenly and rounded up: the rows with the smallest keyed hash.
 
-    Every row of a shard is equally likely; equal rows draw as one. A shard may hold most rows: the
-    rank limit is applied before the shuffle as well.
+    Every row of a shard is equally likely; equal rows draw as one.
     """
     shards = rows.select("shard").distinct()
     quota = shards.agg(F.ceil(F.lit(total) / F.greatest(F.count("*"), F.lit(1))).alias("quota"))
@@ -142,20 +174,43 @@ def sample_statistics(rows: DataFrame, total: int) -> DataFrame:
     return seen.join(F.broadcast(quota)).select("shard", "seen", F.least("seen", "quota").alias("kept"))
 
 
-def _draw(seed: int) -> Column:
-    key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("row_id", "kmer", "bit")]
+def _draw(seed: int, columns: list[str]) -> Column:
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *key))
 
 
+def smallest_draws(rows: DataFrame, group: str | None, quota: int, seed: int = 42, columns: list[str] | None = None, parts: int = _DRAW_PARTS) -> DataFrame:
+    """The ``quota`` rows of each group (of all, without one) with the smallest keyed hash of their ``columns``, then the smallest first column.
+
+    The hash falls into ``parts`` equal parts. Rows are counted by group and part first; whole
+    parts below the one in which the quota ends are kept where they are, and only the
+    rows of that part (one in ``parts``) are ranked. So neither a group of most rows nor a quota of
+    millions is ever sorted by one task. Rows of a null group are a group of their own.
+    """
+    columns = columns or ["row_id", "kmer", "bit"]
+    part = F.conv(F.substring("_draw", 1, 8), 16, 10).cast("bigint") % 4294967296
+    drawn = rows.withColumn("_draw", _draw(seed, columns)).withColumn("_part", F.floor(part * F.lit(parts) / F.lit(4294967296)).cast("int"))
+    drawn = drawn.withColumn("_group", F.xxhash64(group) if group else F.lit(0).cast("bigint"))
+    counts = drawn.groupBy("_group", "_part").agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(W.partitionBy("_group").orderBy("_part"))
+    ends = counts.withColumn("_upto", upto).groupBy("_group").agg(
+        F.min(F.when(F.col("_upto") >= quota, F.col("_part"))).alias("_last"), F.coalesce(F.max(F.when(F.col("_upto") < quota, F.col("_upto"))), F.lit(0)).alias("_before")
+    )
+    met = lookup_join(drawn, checkpointed(ends), ["_group"])
+    whole = met.filter("_last is null or _part < _last")
+    place = F.row_number().over(W.partitionBy("_group").orderBy("_draw", columns[0]))
+    rest = met.filter("_part = _last").withColumn("_place", place).filter(F.col("_before") + F.col("_place") <= quota).drop("_place")
+    return whole.unionByName(rest).select(*rows.columns)
+
+
 def quota_sample(rows: DataFrame, quota: int, seed: int = 42) -> DataFrame:
-    """The ``quota`` rows of each shard with the smallest keyed hash."""
-    w = W.partitionBy("shard").orderBy("draw", "row_id")
-    return rows.withColumn("draw", _draw(seed)).withColumn("place", F.row_number().over(w)).filter(F.col("place") <= quota).drop("place", "draw")
+    """The ``quota`` rows of each shard with the smallest keyed hash (:func:`smallest_draws`)."""
+    return smallest_draws(rows, "shard", quota, seed)
 
 
-def subsample(rows: DataFrame, limit: int, seed: int = 42) -> DataFrame:
-    """A random subset of ``limit`` rows, or all if there are no more; heaps per partition, nothing but kept rows is moved."""
-    return rows.withColumn("draw", _draw(seed)).orderBy("draw", "row_id").limit(limit).drop("draw")
+def subsample(rows: DataFrame, limit: int, seed: int = 42, columns: list[str] | None = None) -> DataFrame:
+    """A random subset of ``limit`` rows, or all if there are no more, drawn by the text of ``columns`` (:func:`smallest_draws`)."""
+    return smallest_draws(rows, None, limit, seed, columns)
 
 
 def batched(rows: DataFrame, batch_size: int = 10) -> DataFrame:

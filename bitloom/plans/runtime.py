@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -14,15 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: File systems and folders of tables this process has written, until they are removed.
+_scratch: list[tuple] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share for stages that must outlive one of them.
 
-    ``spark.checkpoint.dir`` (or an already set checkpoint folder) wins; only a
-    session that names none, as in tests, gets a temporary one.
+    ``spark.checkpoint.dir`` (or an already set checkpoint folder) wins. Only a local
+    session that names none, as in tests, gets a temporary one; on a cluster that is an error, as
+    executors would write to disks of their own.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-bitloom-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
@@ -35,9 +43,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name in the shared folder; what is put there goes with :func:`release`."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _scratch.append((where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where))
+    return path
+
+
+def release() -> None:
+    """Removes the tables this process has written into the shared folder; results not computed yet can't be any more. Runs at the end of the process by itself."""
+    while _scratch:
+        files, where = _scratch.pop()
+        try:
+            files.delete(where, True)
+        except Exception:  # noqa: BLE001, S110 - the session may be gone already
+            pass
+
+
+atexit.register(release)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as a columnar table in the shared folder and read back."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    """``df`` written as a columnar table in the shared folder and read back; it stays until :func:`release`."""
+    path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,7 @@ import struct
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,7 +18,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def write_tsv(df: DataFrame, path: str, columns: list[str], order: list[str] | None = None, sep: str = "\t", digits: int | None = None) -> None:
     """Delimited text without a header; doubles in full, or to ``digits`` significant ones."""
     kinds = dict(df.dtypes)
-    show = lambda c: F.format_string(f"%.{digits}g".replace("g", "e"), c) if digits and kinds[c] == "double" else F.col(c)
+    show = lambda c: F.format_string(f"%.{digits - 1}e", c) if digits and kinds[c] == "double" else F.col(c)
     out = df.select(*(show(c).alias(c) for c in columns))
     if order:
         out = df.orderBy(*order).select(*(show(c).alias(c) for c in columns))
@@ -39,9 +39,22 @@ def write_counts(counts: DataFrame, path: str) -> None:
     write_tsv(counts, path, ["shard", "tested"])
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """The k-mer index by shard, sorted by key within each."""
-    index.repartition("shard").sortWithinPartitions("shard", "canon").write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_index(index: DataFrame, path: str, k: int) -> None:
+    """The k-mer index by shard, sorted by key within each, and one row that tells ``k``, the number of shards and of entries.
+
+    Range partitioned by shard and key, so that a shard is as many tasks as it needs.
+    """
+    index.repartitionByRange("shard", "canon").sortWithinPartitions("shard", "canon").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/entries")
+    entries = index.sparkSession.read.parquet(f"{path}/entries")
+    entries.agg(F.lit(k).alias("k"), F.countDistinct("shard").alias("shards"), F.count("*").alias("entries")).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+
+
+def read_index(spark: SparkSession, path: str, k: int) -> DataFrame:
+    """``canon, effect, p, shard`` as written by :func:`write_index`; another ``k`` than that of the index raises. Columns that aren't used are not read."""
+    kept = spark.read.parquet(f"{path}/meta").first()
+    if kept.k != k:
+        raise ValueError(f"the index is of k-mers of {kept.k} bases, not of {k}")
+    return spark.read.schema("canon string, effect double, p double, shard int").parquet(f"{path}/entries")
 
 
 def write_contig_hits(mapped: DataFrame, path: str) -> None:
@@ -54,6 +67,16 @@ def write_pairs(pairs: DataFrame, path: str) -> None:
     write_tsv(pairs, path, ["idx_a", "idx_b", "effect", "p"], ["idx_a", "idx_b"])
 
 
+def write_dictionary(dictionary: DataFrame, path: str) -> None:
+    """The k-mers of a pair scan (``idx, kmer``), one a line; the line is the index. Range partitioned, so that files of sorted name hold them in order."""
+    dictionary.orderBy("idx").select("kmer").write.mode("overwrite").text(path)
+
+
+def write_twoway(results: DataFrame, path: str) -> None:
+    """``a b ratio delta lrt p`` in blanks, with 10 digits."""
+    write_tsv(results, path, ["a", "b", "ratio", "delta", "lrt", "p"], sep=" ", digits=10)
+
+
 def write_basis(basis: np.ndarray, path: str) -> None:
     """A covariate basis as little-endian int32 rows, int32 columns and doubles, column after column (as long as the sample axis)."""
     n, r = basis.shape

@@ -10,7 +10,7 @@ from bitloom.functions.kmers import is_kmer
 from bitloom.operators.features import strict_rows
 from bitloom.operators.mapping import normalised
 from bitloom.plans.ranks import numbered
-from bitloom.plans.runtime import checkpointed
+from bitloom.plans.runtime import checkpointed, lookup_join
 
 _BLANK = r"[ \t\x0B\f\r]+"
 
@@ -85,11 +85,13 @@ def pair_file(spark: SparkSession, path: str, features: int | None = None) -> Da
 
 def kmer_dictionary(spark: SparkSession, path: str, expected: int | None = None) -> DataFrame:
     """``idx, kmer``: one k-mer per line, numbered in order over all files of sorted name; the count is checked if given."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.regexp_replace("value", r"\r\z", "").alias("kmer"), F.monotonically_increasing_id().alias("id"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.regexp_replace("value", r"\r\z", "").alias("kmer"), F.monotonically_increasing_id().alias("id")
+    )
     kept = checkpointed(lines.filter("kmer <> ''"))
     if expected is not None and kept.count() != expected:
         raise ValueError(f"the dictionary doesn't have {expected} k-mers")
-    return numbered(kept, ["file", "id"], "idx").select("idx", "kmer")
+    return numbered(kept, ["file", "block", "id"], "idx").select("idx", "kmer")
 
 
 def hit_file(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -141,10 +143,17 @@ def transposed_sample(spark: SparkSession, path: str) -> DataFrame:
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     """``contig_idx, name, seq`` of reference files: the name ends at the first white space, bases are normalised, empty contigs are kept.
 
-    Files are read as records that begin with ``>``, so that a contig is one row and a file
-    many; contigs are numbered through all files of sorted name.
+    Files are read as records that begin with ``>`` at the start of a line, so that a contig is one row and a file
+    many; contigs are numbered through all files of sorted name. What stands before the first record of a file is skipped.
     """
-    records = spark.read.option("lineSep", ">").text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id"), F.col("value"))
-    head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
-    named = records.select("file", "id", F.regexp_extract(head, r"^([^ \t]*)", 1).alias("name"), normalised(F.expr(r"substring(value, length(regexp_extract(value, '^([^\\r\\n]*)', 1)) + 1)")).alias("seq"))
-    return numbered(named.filter("name <> ''"), ["file", "id"], "contig_idx").select("contig_idx", "name", "seq")
+    records = spark.read.option("lineSep", "\n>").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value")
+    )
+    # the first record of a file still has its sign, or is no record
+    first = records.select("file", "block", "id").groupBy("file").agg(F.min(F.struct("block", "id")).alias("_first"))
+    told = lookup_join(records, first, ["file"]).withColumn("_is_first", (F.col("block") == F.col("_first.block")) & (F.col("id") == F.col("_first.id")))
+    whole = told.filter(~F.col("_is_first") | F.col("value").startswith(">")).withColumn("value", F.when(F.col("_is_first"), F.expr("substring(value, 2)")).otherwise(F.col("value")))
+    head = F.substring_index("value", "\n", 1)
+    name = F.regexp_extract(head, r"^([^ \t\r]*)", 1)
+    named = whole.select("file", "block", "id", name.alias("name"), normalised(F.expr(r"substring(value, length(substring_index(value, '\n', 1)) + 1)")).alias("seq"))
+    return numbered(named.filter("name <> ''"), ["file", "block", "id"], "contig_idx").select("contig_idx", "name", "seq")

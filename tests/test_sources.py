@@ -62,9 +62,12 @@ def test_two_population_files(spark, tmp_path):
 
 
 def test_fasta(spark, tmp_path):
-    path = put(tmp_path / "r.fasta", ">Chr1 long name\nacgt\nNNRA\n>empty\n>b\tx\r\nAC GT\r\n")
+    path = put(tmp_path / "r.fasta", ">Chr1 long name A>G\nacgt\nNNRA\n>empty\n>b\tx\r\nAC GT\r\n>>odd\nAC>\n")
     got = [(r.contig_idx, r.name, r.seq) for r in text.fasta(spark, path).orderBy("contig_idx").collect()]
-    assert got == [(0, "Chr1", "ACGTNNNA"), (1, "empty", ""), (2, "b", "ACGT")]
+    assert got == [(0, "Chr1", "ACGTNNNA"), (1, "empty", ""), (2, "b", "ACGT"), (3, ">odd", "ACN")]
+    put(tmp_path / "many/a.fa", "; a note\n>c1 variant A>G note\nAC\n")
+    put(tmp_path / "many/b.fa", ">c2\nGG")
+    assert [(r.name, r.seq) for r in text.fasta(spark, str(tmp_path / "many")).orderBy("contig_idx").collect()] == [("c1", "AC"), ("c2", "GG")]
 
 
 def test_columns_round_trip(spark, tmp_path):
@@ -74,12 +77,15 @@ def test_columns_round_trip(spark, tmp_path):
     assert names == ["CCC", "ACG", "GGG"]
     for j in range(4):
         put(tmp_path / f"batch/bits/col_{j:06d}.txt", "".join(r[1][j] for r in sorted(rows, key=lambda r: (r[1], r[0]))) + "\n")
-        got = "".join(gzip.open(p, "rt").read() for p in sorted((tmp_path / f"out/bits/ord={j}").glob("*.gz"))).replace("\n", "")
-        assert got == "".join(r[1][j] for r in sorted(rows, key=lambda r: (r[1], r[0])))
-    batch = columns.column_batch(spark, str(tmp_path / "batch"))
-    assert columns.probe_rows(batch) == 3 and columns.column_batch(spark, str(tmp_path / "batch"), [1, 3]).count() == 2
-    ones = sorted(map(tuple, columns.presence_of(batch).collect()))
-    assert ones == [(0, 2), (0, 3), (1, 1), (1, 2), (2, 1), (2, 2)]
+    put(tmp_path / "lines/bits/col_000000.txt", "01\n1\n0")
+    for path in ("batch", "out"):
+        batch = columns.column_batch(spark, str(tmp_path / path))
+        assert columns.probe_rows(batch) == 3 and columns.column_batch(spark, str(tmp_path / path), [1, 3]).count() == 2
+        ones = sorted(map(tuple, columns.presence_of(batch).collect()))
+        assert ones == [(0, 2), (0, 3), (1, 1), (1, 2), (2, 1), (2, 2)]
+    assert columns.batch_facts(spark, str(tmp_path / "out"))["num_rows"] == "3"
+    lines = columns.column_batch(spark, str(tmp_path / "lines"))
+    assert sorted(map(tuple, columns.presence_of(lines).collect())) == [(1, 0), (2, 0)] and columns.probe_rows(lines) == 4
 
 
 def test_sinks(spark, tmp_path):
@@ -94,8 +100,17 @@ def test_sinks(spark, tmp_path):
     assert text.association_file(spark, str(tmp_path / "h"), 3).first().p == 1e-9
     assert text.association_file(spark, str(tmp_path / "c"), 3).first().bit == "01"
     index = spark.createDataFrame([("AAC", 1.0, 0.1, 1), ("AAA", 1.0, 0.1, 0)], "canon string, effect double, p double, shard int")
-    sinks.write_index(index, str(tmp_path / "i"))
-    assert spark.read.parquet(str(tmp_path / "i")).filter("shard = 1").first().canon == "AAC"
+    sinks.write_index(index, str(tmp_path / "i"), 3)
+    assert sinks.read_index(spark, str(tmp_path / "i"), 3).filter("shard = 1").first().canon == "AAC"
+    with pytest.raises(ValueError):
+        sinks.read_index(spark, str(tmp_path / "i"), 4)
+    sinks.write_tsv(hits, str(tmp_path / "six"), ["effect", "p"], digits=6)
+    assert spark.read.text(str(tmp_path / "six")).first().value == "2.50000e-01\t1.00000e-09"
+    two = spark.createDataFrame([("h", "p", 1.5, 0.25, 3.0, 0.125)], "a string, b string, ratio double, delta double, lrt double, p double")
+    sinks.write_twoway(two, str(tmp_path / "two"))
+    assert spark.read.text(str(tmp_path / "two")).first().value.startswith("h p 1.500000000e+00 ")
+    sinks.write_dictionary(spark.createDataFrame([(1, "AAC"), (0, "AAA")], "idx bigint, kmer string"), str(tmp_path / "d"))
+    assert [tuple(r) for r in text.kmer_dictionary(spark, str(tmp_path / "d"), 2).orderBy("idx").collect()] == [(0, "AAA"), (1, "AAC")]
 
 
 def test_stream_scan(spark, tmp_path):

@@ -8,11 +8,10 @@ from bitloom.functions import special
 
 
 def test_erfc_column_and_text_match_math(spark):
-    xs = [0.0, 1e-9, 0.1, 0.5, 1.0, 2.0, 3.7, 5.0, 9.0, 15.0, 25.0, 25.99, 27.0, 1000.0]
+    xs = [0.0, 1e-9, 0.1, 0.5, 1.0, 2.0, 3.7, 5.0, 9.0, 15.0, 25.0, 25.99, 26.5, 27.0, 1000.0]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     for x, a, b in df.select("x", special.erfc(F.col("x")), F.expr(special.erfc_sql("x"))).collect():
-        want = math.erfc(x) if x <= 26 else 0.0
-        assert a == pytest.approx(want, rel=1e-11)
+        assert a == pytest.approx(math.erfc(x), rel=1e-11, abs=1e-315)
         assert b == pytest.approx(a, rel=1e-13)
 
 
@@ -40,8 +39,14 @@ def test_chi_square_tails(spark):
     assert tuple(below) == (1.0, 1.0)
 
 
-@pytest.mark.parametrize("level", [1.0, 3.0, 6.0, 15.0, 18.0])
+@pytest.mark.parametrize("level", [1.0, 3.0, 6.0, 15.0, 18.0, 300.0])
 def test_cuts_are_where_p_crosses(level):
     t = special.statistic_cut(level)
     assert math.erfc(math.sqrt(t / 2)) <= 10**-level < math.erfc(math.sqrt(t * (1 - 1e-9) / 2))
     assert special.r2_cut(level, 90) == pytest.approx(1 - math.exp(-t / 90))
+
+
+def test_cuts_beyond_the_smallest_double():
+    t = special.statistic_cut(400)
+    assert -special.log_erfc(math.sqrt(t / 2)) / math.log(10) == pytest.approx(400)
+    assert special.log_erfc(19.9) == pytest.approx(math.log(math.erfc(19.9)), rel=1e-12) and special.log_erfc(24.0) == pytest.approx(math.log(math.erfc(24.0)), rel=1e-12)
