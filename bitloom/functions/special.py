@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -95,16 +96,32 @@ def chi2_sf(x: float, k: float) -> float:
     return math.exp(-h + a * math.log(h) - math.lgamma(a)) / (h + 1 - a - f)
 
 
-@cache
-def statistic_cut(log10_p: float) -> float:
-    """The least T with erfc(sqrt(T / 2)) <= 10^-log10_p."""
-    low, high, wanted = 0.0, 10.0 + 5 * max(log10_p, 0.0), -log10_p * math.log(10)
+def _least(log10_p: float, log_tail: Callable[[float], float]) -> float:
+    low, high, wanted = 0.0, 20.0 + 6 * max(log10_p, 0.0), -log10_p * math.log(10)
     for _ in range(200):
         mid = (low + high) / 2
-        low, high = (low, mid) if log_erfc(math.sqrt(mid / 2)) <= wanted else (mid, high)
+        low, high = (low, mid) if log_tail(mid) <= wanted else (mid, high)
     return high
 
 
+@cache
+def statistic_cut(log10_p: float) -> float:
+    """The least T with a tail of chi-square with 1 degree of freedom of at most 10^-log10_p."""
+    return _least(log10_p, lambda t: log_erfc(math.sqrt(t / 2)))
+
+
+@cache
+def statistic_cut3(log10_p: float) -> float:
+    """As :func:`statistic_cut` with 3 degrees of freedom."""
+
+    def log_tail(t: float) -> float:
+        h = math.sqrt(t / 2)
+        one, rest = log_erfc(h), -t / 2 + math.log(max(h, 1e-300) * 2 / math.sqrt(math.pi))
+        return max(one, rest) + math.log1p(math.exp(-abs(one - rest)))
+
+    return _least(log10_p, log_tail)
+
+
 def r2_cut(log10_p: float, n: int) -> float:
     """The least r² of ``n`` samples whose p-value is at most 10^-log10_p."""
     return 1 - math.exp(-statistic_cut(log10_p) / n) if n else 1.0

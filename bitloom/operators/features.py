@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bitloom.functions.kmers import is_kmer
+from bitloom.plans.ranks import numbered
 from bitloom.plans.runtime import at_most, checkpointed, lookup_join
 
 #: Keys delivered more than once up to which they are broadcast (8 bytes each).
@@ -221,7 +222,6 @@ def batched(rows: DataFrame, batch_size: int = 10) -> DataFrame:
     return lookup_join(rows, numbered, ["shard"])
 
 
-def sorted_batches(rows: DataFrame, batch_size: int = 10) -> DataFrame:
-    """Rows of each batch in order of (bit, kmer), range partitioned so that a giant batch is many tasks."""
-    keys = ["batch", "bit", "kmer", "row_id"]
-    return batched(rows, batch_size).repartitionByRange(*keys).sortWithinPartitions(*keys)
+def sorted_places(rows: DataFrame, batch_size: int = 10) -> DataFrame:
+    """``rows`` with ``batch`` and ``place``, their place in the order of (batch, bit, kmer); one range-partitioned sort, so that a giant batch is many tasks."""
+    return numbered(batched(rows, batch_size), ["batch", "bit", "kmer", "row_id"], "place")

@@ -11,7 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bitloom.functions.kmers import canonical, encoded, index_shard, is_kmer, reverse_complement
-from bitloom.plans.runtime import checkpointed, lookup_join
+from bitloom.operators.features import latest_rows
+from bitloom.plans.runtime import checkpointed, lookup_join, written
+
+#: Bases that fit a bigint as a 2-bit code.
+_WORD = 31
 
 #: Bases of a reference that are cut into k-mers by one task step.
 _CHUNK = 20_000
@@ -32,20 +36,18 @@ def normalised(seq: Column) -> Column:
 
 
 def reference(contigs: DataFrame) -> DataFrame:
-    """``contig_idx, name, seq`` normalised, redelivered contigs once (the latest with a sequence); others with null keys or sequences are left out.
+    """``contig_idx, name, len, seq`` normalised, redelivered contigs once (the latest with a sequence); others with null keys or sequences are left out.
 
-    The latest row of each contig is found by time and a hash of its sequence, so that no
-    sequence is shuffled for it but those of rows delivered twice at one time.
+    No sequence is shuffled for it but those of contigs delivered more than once.
     """
-    keys = ["contig_idx", "_time", "_hash"]
-    given = contigs.filter("contig_idx is not null and seq is not null").select(
-        "contig_idx", "name", F.coalesce(F.col("loaded_at").cast("string"), F.lit("")).alias("_time"), F.xxhash64("name", "seq").alias("_hash"), "seq"
-    )
-    copies = given.groupBy(*keys).agg(F.count("*").alias("_copies"))
-    last = copies.groupBy("contig_idx").agg(F.max(F.struct("_time", "_hash", "_copies")).alias("w")).select("contig_idx", "w.*")
-    kept = lookup_join(given, checkpointed(last), keys)
-    once = kept.filter("_copies = 1").unionByName(kept.filter("_copies > 1").dropDuplicates(["contig_idx"]))
-    return once.select("contig_idx", "name", normalised(F.col("seq")).alias("seq"))
+    given = contigs.filter("contig_idx is not null and seq is not null")
+    once = latest_rows(given, ["contig_idx"], "loaded_at", ["name", "seq"], contigs)
+    return once.select("contig_idx", "name", normalised(F.col("seq")).alias("seq")).select("contig_idx", "name", F.length("seq").cast("bigint").alias("len"), "seq")
+
+
+def written_reference(contigs: DataFrame) -> DataFrame:
+    """As :func:`reference`, written once into the shared folder, for work that reads it several times; whoever needs lengths alone reads no sequence."""
+    return written(reference(contigs), "reference")
 
 
 def contig_lengths(contigs: DataFrame) -> DataFrame:
@@ -64,7 +66,11 @@ def contig_offsets(contigs: DataFrame, buckets: int = 64) -> DataFrame:
     A running sum in two steps: contigs are ranged into buckets by index, summed within them and
     shifted by the sums of the buckets before, so no task holds all of them.
     """
-    lengths = checkpointed(contig_lengths(contigs))  # narrow; the sequences are read once
+    return running_offsets(checkpointed(contig_lengths(contigs)), buckets)  # narrow; the sequences are read once
+
+
+def running_offsets(lengths: DataFrame, buckets: int = 64) -> DataFrame:
+    """``lengths`` (``contig_idx, name, len``) with ``start``, as :func:`contig_offsets`."""
     spread = lengths.agg(F.min("contig_idx").alias("low"), F.max("contig_idx").alias("high")).first()
     width = max(1, -(-((spread.high or 0) - (spread.low or 0) + 1) // buckets))
     cut = lengths.withColumn("bucket", F.floor((F.col("contig_idx") - F.lit(spread.low or 0)) / width))
@@ -104,33 +110,70 @@ def build_index(hits: DataFrame, k: int, shards: int = 16) -> DataFrame:
     return best.select("canon", "v.effect", "v.p", index_shard(F.col("canon"), shards).alias("shard"))
 
 
-def key_of(kmer: Column, k: int) -> Column:
-    """What k-mers of either strand meet by: the 2-bit code of the canonical form, its text where ``k`` is above 31."""
-    return encoded(canonical(kmer)) if k <= 31 else canonical(kmer)
+def word_spans(k: int) -> list[tuple[int, int]]:
+    """First base and length of the parts of a k-mer that make a bigint each: all of 31 bases, but for a shorter first one."""
+    first = (k - 1) % _WORD + 1
+    return [(0, first), *((at, _WORD) for at in range(first, k, _WORD))]
+
+
+def key_columns(k: int, name: str = "key") -> list[str]:
+    """The names of the columns that hold a k-mer's code; one up to 31 bases."""
+    return [name if i == 0 else f"{name}{i}" for i in range(len(word_spans(k)))]
+
+
+def codes_of(kmer: Column, k: int, name: str = "key") -> list[Column]:
+    """The 2-bit code of an upper-case k-mer as bigints."""
+    return [encoded(F.substring(kmer, at + 1, size)).alias(c) for c, (at, size) in zip(key_columns(k, name), word_spans(k))]
+
+
+def keys_of(kmer: Column, k: int) -> list[Column]:
+    """What k-mers of either strand meet by: the code of the canonical form."""
+    return codes_of(canonical(kmer), k)
 
 
 def window_codes(bases: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the windows of ``k`` <= 31 bases without N in a chunk, and the codes of either strand."""
+    """Places of the windows of ``k`` bases without N in a chunk, and the codes of either strand, a row per word."""
     digit = _DIGITS[np.frombuffer(bases, np.uint8)]
-    n = len(digit) - k + 1
+    n, spans = len(digit) - k + 1, word_spans(k)
     if n < 1:
-        return (np.zeros(0, np.int64),) * 3
+        return np.zeros(0, np.int64), *(np.zeros((len(spans), 0), np.int64),) * 2
     masked = np.concatenate([[0], np.cumsum(digit > 3)])
     at = np.flatnonzero(masked[k:] == masked[:-k])
     d = digit.astype(np.int64)
-    forward, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for i in range(k):
-        part = d[i : i + n]
-        forward = forward << 2 | part
-        back |= (3 - part) << (2 * i)
-    return at, forward[at], back[at]
+
+    def codes(size: int) -> tuple[np.ndarray, np.ndarray]:
+        # of every window of so many bases, both strands; windows with N are left out anyway
+        m = len(d) - size + 1
+        forward, back = np.zeros(m, np.int64), np.zeros(m, np.int64)
+        for i in range(size):
+            part = d[i : i + m] & 3
+            forward = forward << 2 | part
+            back |= (3 - part) << (2 * i)
+        return forward, back
+
+    of = {size: codes(size) for size in {size for _, size in spans}}
+    forward = np.stack([of[size][0][at + first] for first, size in spans])
+    back = np.stack([of[size][1][at + k - first - size] for first, size in spans])
+    return at, forward, back
+
+
+def _smaller(forward: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """The canonical codes out of those of both strands."""
+    less, same = np.zeros(forward.shape[1], bool), np.ones(forward.shape[1], bool)
+    for f, b in zip(forward, back):
+        less |= same & (f < b)
+        same &= f == b
+    return np.where(less, forward, back)
 
 
 def _slots(codes: np.ndarray, bits: int) -> np.ndarray:
-    return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+    mixed = np.zeros(codes.shape[1], np.uint64)
+    for word in codes:
+        mixed = (mixed ^ word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed >> np.uint64(64 - bits)
 
 
-def _gate(index: DataFrame | None):
+def _gate(index: DataFrame | None, k: int):
     """A bit map of the keys of an index, shared with all tasks: 16 bits a key, but never above 32 MB.
 
     Windows whose bit isn't set are in no index entry. The map is put together by a
@@ -142,13 +185,13 @@ def _gate(index: DataFrame | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = np.unique(_slots(batch.column(0).to_numpy(), bits))
+            slots = np.unique(_slots(np.stack([c.to_numpy() for c in batch.columns]), bits))
             words, first = np.unique(slots >> np.uint64(6), return_index=True)
             if len(words):
                 marks = np.bitwise_or.reduceat(np.uint64(1) << (slots & np.uint64(63)), first)
                 yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(marks.view(np.int64))], ["word", "marks"])
 
-    words = index.select("key").mapInArrow(run, "word bigint, marks bigint").groupBy("word").agg(F.bit_or("marks").alias("marks")).toArrow()
+    words = index.select(*key_columns(k)).mapInArrow(run, "word bigint, marks bigint").groupBy("word").agg(F.bit_or("marks").alias("marks")).toArrow()
     table = np.zeros(1 << (bits - 6), np.uint64)
     table[words.column("word").to_numpy()] = words.column("marks").to_numpy().view(np.uint64)
     return index.sparkSession.sparkContext.broadcast((bits, table))
@@ -161,36 +204,35 @@ def _may_be_in(gate: tuple[int, np.ndarray], codes: np.ndarray) -> np.ndarray:
 
 
 def strand_codes(ref: DataFrame, k: int, index: DataFrame | None = None, canonical_index: bool = False) -> DataFrame:
-    """``contig_idx, pos, forward, back`` of every window of ``k`` <= 31 bases without N: the codes of both strands.
+    """``contig_idx, pos`` and the codes of both strands (``forward``, ``back``; canonical ones as ``key`` with ``canonical_index``) of every window of ``k`` bases without N.
 
-    Long sequences are cut into chunks that are dealt out anew. With an ``index`` (``key``) most
-    windows of which neither code (the canonical one) is in it are dropped where they are made, so that
-    a join afterwards moves few of them.
+    A code is as many bigints as it takes (:func:`word_spans`), for any ``k``. Long sequences are cut into chunks that
+    are dealt out anew. With an ``index`` (``key``, ...) most windows of which no code is in it
+    are dropped where they are made, so that a join afterwards moves few of them.
     """
-    gate = _gate(index)
+    gate = _gate(index, k)
+    names = key_columns(k) if canonical_index else key_columns(k, "forward") + key_columns(k, "back")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for contig, start, bases in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found = window_codes(bases, k)
-                if gate is not None:
-                    if canonical_index:
-                        there = _may_be_in(gate.value, np.minimum(found[1], found[2]))
-                    else:
-                        there = _may_be_in(gate.value, found[1]) | _may_be_in(gate.value, found[2])
-                    found = tuple(x[there] for x in found)
-                if len(found[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), contig, np.int64)), pa.array(found[0] + start), pa.array(found[1]), pa.array(found[2])], ["contig_idx", "pos", "forward", "back"])
+                at, *strands = window_codes(bases, k)
+                if canonical_index:
+                    strands = [_smaller(*strands)]
+                if gate is not None and len(at):
+                    there = np.logical_or.reduce([_may_be_in(gate.value, s) for s in strands])
+                    at, strands = at[there], [s[:, there] for s in strands]
+                if len(at):
+                    words = [pa.array(word) for s in strands for word in s]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), contig, np.int64)), pa.array(at + start), *words], ["contig_idx", "pos", *names])
 
     cut = chunks(ref, k).repartition(F.col("contig_idx"), F.col("at"))
-    return cut.mapInArrow(run, "contig_idx bigint, pos bigint, forward bigint, back bigint")
+    return cut.mapInArrow(run, ", ".join(f"{c} bigint" for c in ["contig_idx", "pos", *names]))
 
 
 def reference_keys(ref: DataFrame, k: int, index: DataFrame | None = None) -> DataFrame:
-    """``contig_idx, pos, key`` of every window of ``k`` bases without N, as :func:`key_of`; with an ``index`` (``key``) of few more than those in it."""
-    if k > 31:
-        return reference_kmers(ref, k).select("contig_idx", "pos", canonical(F.col("kmer")).alias("key"))
-    return strand_codes(ref, k, index, True).select("contig_idx", "pos", F.least("forward", "back").alias("key"))
+    """``contig_idx, pos, key, ...`` of every window of ``k`` bases without N, by its canonical form; with an ``index`` (``key``, ...) of few more than those in it."""
+    return strand_codes(ref, k, index, True)
 
 
 def kmers_at(ref: DataFrame, places: DataFrame, k: int) -> DataFrame:
@@ -207,15 +249,15 @@ def kmers_at(ref: DataFrame, places: DataFrame, k: int) -> DataFrame:
 
 
 def map_hits(ref: DataFrame, index: DataFrame, k: int, max_p: float | None = None) -> DataFrame:
-    """``contig_idx, pos, key, effect, p``: every place of the reference whose k-mer is in the index, on either strand.
+    """``contig_idx, pos, key, ..., effect, p``: every place of the reference whose k-mer is in the index, on either strand.
 
     A bit map of the index drops most other places in the scan; the rest meet the index by
     key, broadcast if it is small (counted).
     """
-    entries = (index if max_p is None else index.filter(F.col("p") <= max_p)).select(key_of(F.col("canon"), k).alias("key"), "effect", "p")
+    entries = (index if max_p is None else index.filter(F.col("p") <= max_p)).select(*keys_of(F.col("canon"), k), "effect", "p")
     entries = checkpointed(entries)
     places = reference_keys(ref, k, entries)
-    return lookup_join(places, entries, ["key"], max_rows=_SMALL_INDEX).select("contig_idx", "pos", "key", "effect", "p")
+    return lookup_join(places, entries, key_columns(k), max_rows=_SMALL_INDEX).select("contig_idx", "pos", *key_columns(k), "effect", "p")
 
 
 def map_dual(ref: DataFrame, hits: DataFrame, k: int) -> DataFrame:
@@ -223,16 +265,13 @@ def map_dual(ref: DataFrame, hits: DataFrame, k: int) -> DataFrame:
 
     Repeated hits of one k-mer count once, that of the smallest p, then the smallest effect.
     """
-    key = encoded(F.upper("kmer")) if k <= 31 else F.upper("kmer")
-    once = checkpointed(hits.filter(is_kmer(F.col("kmer"), k)).groupBy(key.alias("key")).agg(F.min(F.struct("p", "effect")).alias("v")))
-    if k <= 31:
-        places = strand_codes(ref, k, once)
-    else:
-        windows = reference_kmers(ref, k)
-        places = windows.select("contig_idx", "pos", F.col("kmer").alias("forward"), reverse_complement(F.col("kmer")).alias("back"))
-    forward = lookup_join(places, once.select(F.col("key").alias("forward"), F.col("v").alias("f")), ["forward"], "left", _SMALL_INDEX)
-    both = lookup_join(forward, once.select(F.col("key").alias("back"), F.col("v").alias("r")), ["back"], "left", _SMALL_INDEX)
-    return both.withColumn("v", F.coalesce("f", "r")).filter("v is not null").select("contig_idx", "pos", "v.effect", "v.p")
+    once = checkpointed(hits.filter(is_kmer(F.col("kmer"), k)).groupBy(*codes_of(F.upper("kmer"), k)).agg(F.min(F.struct("p", "effect")).alias("v")))
+    both = strand_codes(ref, k, once)
+    for side in ("forward", "back"):
+        names = key_columns(k, side)
+        renamed = once.select(*(F.col(c).alias(n) for c, n in zip(key_columns(k), names)), F.col("v").alias(f"v_{side}"))
+        both = lookup_join(both, renamed, names, "left", _SMALL_INDEX)
+    return both.withColumn("v", F.coalesce("v_forward", "v_back")).filter("v is not null").select("contig_idx", "pos", "v.effect", "v.p")
 
 
 def density_filter(hits: DataFrame, window: int = 100, density: float = 0.95) -> DataFrame:
@@ -263,26 +302,27 @@ def to_genome(mapped: DataFrame, offsets: DataFrame) -> DataFrame:
     return lookup_join(mapped, offsets.select("contig_idx", "start"), ["contig_idx"]).withColumn("pos", F.col("pos") + F.col("start")).drop("start")
 
 
-def map_merge_filter(contigs: DataFrame, index: DataFrame, k: int, window: int = 100, density: float = 0.95, max_p: float | None = None) -> DataFrame:
-    """``pos, effect, p``: hits of the index on the reference, density filtered, in genome-wide positions."""
-    kept = density_filter(map_hits(reference(contigs), index, k, max_p), window, density)
-    return to_genome(kept, contig_offsets(contigs)).select("pos", "effect", "p")
+def map_merge_filter(ref: DataFrame, index: DataFrame, k: int, window: int = 100, density: float = 0.95, max_p: float | None = None) -> DataFrame:
+    """``pos, effect, p``: hits of the index on a reference (:func:`written_reference`), density filtered, in genome-wide positions."""
+    kept = density_filter(map_hits(ref, index, k, max_p), window, density)
+    return to_genome(kept, running_offsets(ref.select("contig_idx", "name", "len"))).select("pos", "effect", "p")
 
 
-def pair_scan_input(contigs: DataFrame, index: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+def pair_scan_input(ref: DataFrame, index: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """``pos, bit, effect, p``: mapped candidates of the pair scan with their bit strings, not density filtered."""
-    bits = candidates.groupBy(key_of(F.col("kmer"), k).alias("key")).agg(F.min_by("bit", F.struct("p", "bit")).alias("bit"))
-    mapped = to_genome(map_hits(reference(contigs), index, k), contig_offsets(contigs))
-    return lookup_join(mapped, bits, ["key"]).select("pos", "bit", "effect", "p")
+    bits = candidates.groupBy(*keys_of(F.col("kmer"), k)).agg(F.min_by("bit", F.struct("p", "bit")).alias("bit"))
+    mapped = to_genome(map_hits(ref, index, k), running_offsets(ref.select("contig_idx", "name", "len")))
+    return lookup_join(mapped, checkpointed(bits), key_columns(k)).select("pos", "bit", "effect", "p")
 
 
-def first_positions(contigs: DataFrame, kmers: DataFrame, k: int) -> DataFrame:
+def first_positions(ref: DataFrame, kmers: DataFrame, k: int) -> DataFrame:
     """``idx, pos``: the first genome-wide position of each k-mer (``idx, kmer``), on either strand; absent ones give none."""
-    keyed = checkpointed(kmers.filter(is_kmer(F.col("kmer"), k)).select("idx", key_of(F.col("kmer"), k).alias("key")))
-    index = checkpointed(keyed.select("key").distinct())
-    met = lookup_join(reference_keys(reference(contigs), k, index), index, ["key"], max_rows=_SMALL_INDEX)
-    first = to_genome(met, contig_offsets(contigs)).groupBy("key").agg(F.min("pos").alias("pos"))
-    return keyed.join(first, "key").select("idx", "pos")
+    names = key_columns(k)
+    keyed = checkpointed(kmers.filter(is_kmer(F.col("kmer"), k)).select("idx", *keys_of(F.col("kmer"), k)))
+    index = checkpointed(keyed.select(*names).distinct())
+    met = lookup_join(reference_keys(ref, k, index), index, names, max_rows=_SMALL_INDEX)
+    first = to_genome(met, running_offsets(ref.select("contig_idx", "name", "len"))).groupBy(*names).agg(F.min("pos").alias("pos"))
+    return keyed.join(first, names).select("idx", "pos")
 
 
 def map_pairs(pairs: DataFrame, positions: DataFrame) -> DataFrame:

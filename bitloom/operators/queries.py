@@ -9,17 +9,18 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from bitloom.functions.kmers import canonical, decoded, encoded, index_shard, reverse_complement
-from bitloom.functions.special import erfc_sql
 from bitloom.operators import features, mapping, parse_failures, report, scan1d, structure, twoway
 from bitloom.operators import pairs2d as _pairs2d
-from bitloom.plans.runtime import checkpointed, shared_dir, table
+from bitloom.plans.runtime import checkpointed, scratch, table
 from bitloom.streaming import scan as streaming
 
 K, BITS = 31, 96
 MIN_CORR, LOG10_P, LOG10_P_2D = 0.2, 2.0, 3.0
 WINDOW, DENSITY = 200, 0.03
-HOSTS, PATHOGENS = 25, 5
+LONG_K = 51  #: k of the mapping by default
+HOSTS, PATHOGENS = 91, 5  #: all samples, the first ones as hosts
 CELL, BAND = 200_000, 24
+QUOTAS, POINTS = 25_000, 2000
 
 
 def _rows(spark, d):
@@ -42,26 +43,36 @@ def _hits(spark, d):
 
 def _mapped_hits(spark, d):
     """Hits with a place, each once: ``contig_idx, pos, effect, p``."""
-    ok = table(spark, d, "hits").filter("contig_idx >= 0 and pos >= 0 and pval >= 0 and pval <= 1 and not isnan(pval) and not isnan(effect)")
-    return features.latest(ok, ["hit_id"], "loaded_at", ["contig_idx", "pos", "effect", "pval"]).withColumnRenamed("pval", "p")
+    given = table(spark, d, "hits")
+    ok = given.filter("contig_idx >= 0 and pos >= 0 and pval >= 0 and pval <= 1 and not isnan(pval) and not isnan(effect)")
+    return features.latest_rows(ok, ["hit_id"], "loaded_at", ["contig_idx", "pos", "effect", "pval"], given).withColumnRenamed("pval", "p")
 
 
-def _index(spark, d):
+def _ref(spark, d):
+    return mapping.written_reference(table(spark, d, "contigs"))
+
+
+def _index(spark, d, ref, k=K):
     """The index of the k-mers that stand where hits are."""
-    ref = mapping.reference(table(spark, d, "contigs"))
-    return mapping.build_index(mapping.kmers_at(ref, _mapped_hits(spark, d), K), K)
+    return mapping.build_index(mapping.kmers_at(ref, _mapped_hits(spark, d), k), k)
 
 
 def _genome_hits(spark, d):
     return mapping.to_genome(_mapped_hits(spark, d), mapping.contig_offsets(table(spark, d, "contigs")))
 
 
+def _pairs(spark, d):
+    given = table(spark, d, "pairs")
+    pairs = features.latest_rows(given, ["trait", "idx_a", "idx_b"], "written_at", ["effect", "pval"])
+    return pairs.filter("pval >= 0 and not isnan(pval) and effect is not null and not isnan(effect) and abs(effect) < 1e300").withColumnRenamed("pval", "p")
+
+
 def _genome_pairs(spark, d):
     """Pairs placed on the genome: the k-th hit of the reference stands for the k-th feature (``pos_a, pos_b, effect, p``)."""
-    at = mapping.to_genome(features.latest(table(spark, d, "hits").filter("contig_idx >= 0 and pos >= 0"), ["hit_id"], "loaded_at", ["contig_idx", "pos"]), mapping.contig_offsets(table(spark, d, "contigs")))
-    pairs = features.latest(table(spark, d, "pairs"), ["trait", "idx_a", "idx_b"], "written_at", ["effect", "pval"])
-    ok = pairs.filter("pval >= 0 and not isnan(pval) and effect is not null and not isnan(effect) and abs(effect) < 1e300").withColumnRenamed("pval", "p")
-    return checkpointed(mapping.map_pairs(ok, at.select(F.col("hit_id").alias("idx"), "pos")))  # read more than once
+    given = table(spark, d, "hits")
+    hits = features.latest_rows(given.filter("contig_idx >= 0 and pos >= 0"), ["hit_id"], "loaded_at", ["contig_idx", "pos"], given)
+    at = mapping.to_genome(hits, mapping.contig_offsets(table(spark, d, "contigs")))
+    return checkpointed(mapping.map_pairs(_pairs(spark, d), at.select(F.col("hit_id").alias("idx"), "pos")))  # read more than once
 
 
 def p4_found(spark, d):
@@ -89,15 +100,16 @@ def bitstring_subset(spark, d):
 
 
 def bitstring_build(spark, d):
-    return features.bit_strings(features.presence(_unique(spark, d)), BITS)
+    rows = _unique(spark, d)
+    return features.bit_strings(features.presence(rows), BITS, rows)
 
 
 def shard_quota_sample(spark, d):
-    return features.shard_samples(_unique(spark, d), 1000).select("shard", "row_id")
+    return features.shard_samples(_unique(spark, d), QUOTAS).select("shard", "row_id")
 
 
 def sample_statistics(spark, d):
-    return features.sample_statistics(_unique(spark, d), 1000)
+    return features.sample_statistics(_unique(spark, d), QUOTAS)
 
 
 def contig_header_lengths(spark, d):
@@ -108,6 +120,11 @@ def subsample_truncate(spark, d):
     return features.subsample(_unique(spark, d), 500).select("row_id")
 
 
+def matrix_sorted(spark, d):
+    """``row_id, batch, place``: rows of all batches in order of (bit, k-mer)."""
+    return features.sorted_places(_unique(spark, d)).select("row_id", "batch", "place")
+
+
 def matrix_batches(spark, d):
     return features.batched(_unique(spark, d)).select("row_id", "batch")
 
@@ -164,6 +181,24 @@ def pca_basis(spark, d):
     return structure.basis_table(spark, des, np.round(u @ u.T, 6))
 
 
+def basis_properties(spark, d):
+    """What holds of both bases for certain: ``basis, samples, trace, constant, idempotent, invariant``.
+
+    Their projectors leave the constant alone and repeat nothing; what the first
+    spans beyond it is carried into itself by the centred Gram matrix of the common features.
+    """
+    des = _design(spark, d)
+    common = checkpointed(features.maf_filter(_unique(spark, d), des))
+    g = structure.centred(structure.gram_matrix(common, des.ords))
+    out = []
+    for name, u in zip(("single", "pair"), structure.covariate_bases(common, des)):
+        p = u @ u.T
+        rest = g @ p - p @ g @ p
+        invariant = float(np.abs(rest).max() < 1e-6 * np.abs(g).max()) if name == "single" else None
+        out.append((name, des.n, round(float(np.trace(p)), 6), round(float(np.abs(p.sum(1) - 1).max()), 6), round(float(np.abs(p @ p - p).max()), 6), invariant))
+    return spark.createDataFrame(out, "basis string, samples bigint, trace double, constant double, idempotent double, invariant double")
+
+
 def pair_basis(spark, d):
     des, (_, u) = _bases(spark, d)
     return structure.basis_table(spark, des, np.round(u @ u.T, 6))
@@ -183,7 +218,7 @@ def kmer_canonical(spark, d):
 
 
 def index_build(spark, d):
-    return _index(spark, d).select("canon", "effect", "p", "shard")
+    return _index(spark, d, _ref(spark, d)).select("canon", "effect", "p", "shard")
 
 
 def contig_offsets(spark, d):
@@ -198,11 +233,12 @@ def reference_kmer_counts(spark, d):
 
 
 def map_hits(spark, d):
-    return mapping.map_hits(mapping.reference(table(spark, d, "contigs")), _index(spark, d), K).select("contig_idx", "pos", "effect", "p")
+    ref = _ref(spark, d)
+    return mapping.map_hits(ref, _index(spark, d, ref), K).select("contig_idx", "pos", "effect", "p")
 
 
 def map_dual(spark, d):
-    ref = mapping.reference(table(spark, d, "contigs"))
+    ref = _ref(spark, d)
     return mapping.map_dual(ref, mapping.kmers_at(ref, _mapped_hits(spark, d), K), K).select("contig_idx", "pos", "effect", "p")
 
 
@@ -213,40 +249,56 @@ def density_filter(spark, d):
 
 def map_merge_filter(spark, d):
     """The flagship: hits of the index on the reference, density filtered, in genome-wide positions."""
-    return mapping.map_merge_filter(table(spark, d, "contigs"), _index(spark, d), K, WINDOW, DENSITY)
+    ref = _ref(spark, d)
+    return mapping.map_merge_filter(ref, _index(spark, d, ref), K, WINDOW, DENSITY)
+
+
+def map_merge_filter_51(spark, d):
+    """The same with k-mers of two words."""
+    ref = _ref(spark, d)
+    return mapping.map_merge_filter(ref, _index(spark, d, ref, LONG_K), LONG_K, WINDOW, DENSITY)
 
 
 def pair_scan_input(spark, d):
     """Index entries mapped with a bit string: that of the hit, where it has one."""
-    ref = mapping.reference(table(spark, d, "contigs"))
-    with_bits = table(spark, d, "hits").filter("bitstring is not null and contig_idx >= 0 and pos >= 0 and pval >= 0 and pval <= 1 and not isnan(pval) and not isnan(effect)")
-    once = features.latest(with_bits, ["hit_id"], "loaded_at", ["contig_idx", "pos", "effect", "pval", "bitstring"]).withColumnRenamed("pval", "p").withColumnRenamed("bitstring", "bit")
+    ref, given = _ref(spark, d), table(spark, d, "hits")
+    with_bits = given.filter("bitstring is not null and contig_idx >= 0 and pos >= 0 and pval >= 0 and pval <= 1 and not isnan(pval) and not isnan(effect)")
+    once = features.latest_rows(with_bits, ["hit_id"], "loaded_at", ["contig_idx", "pos", "effect", "pval", "bitstring"], given).withColumnRenamed("pval", "p").withColumnRenamed("bitstring", "bit")
     found = checkpointed(mapping.kmers_at(ref, once, K))
-    return mapping.pair_scan_input(table(spark, d, "contigs"), mapping.build_index(found, K), found, K)
+    return mapping.pair_scan_input(ref, mapping.build_index(found, K), found, K)
 
 
 def _candidates(spark, d):
     return scan1d.candidates(_rows(spark, d), _design(spark, d), MIN_CORR, LOG10_P, LOG10_P)
 
 
+def _pair_features(spark, d):
+    return _candidates(spark, d).select(F.col("row_id").alias("idx"), "bit")
+
+
+def _pair_scan(spark, d, grouped):
+    out = _pairs2d.scan_class_pairs(_pair_features(spark, d), _design(spark, d, grouped), 4.0)[0]
+    return out.select("rep_a", "rep_b", (F.round(F.col("effect") + F.lit(3e-9), 6) + F.lit(0.0)).alias("effect"), F.round("r2", 9).alias("r2"), F.round("t", 9).alias("t"), F.round(-F.log10("p"), 9).alias("log10p"))
+
+
 def pairs2d(spark, d):
-    found = pairs2d_features(spark, d)
-    out = pairs_scan(found, spark, d)
-    return out.select("idx_a", "idx_b", F.round("r2", 9).alias("r2"), F.round("t", 9).alias("t"))
+    """Significant pairs between classes of candidates that look the same (``pairs2d_classes`` has their members)."""
+    return _pair_scan(spark, d, False)
 
 
-def pairs2d_features(spark, d):
-    return _candidates(spark, d).select(F.col("row_id").alias("idx"), "bit")
+def pairs2d_group_covariates(spark, d):
+    return _pair_scan(spark, d, True)
 
 
-def pairs_scan(found, spark, d):
-    return _pairs2d.scan_pairs(found, _design(spark, d), 4.0)
+def pairs2d_classes(spark, d):
+    return _pairs2d.pattern_classes(_pair_features(spark, d), _design(spark, d))
 
 
 def pairs2d_cooccurrence(spark, d):
-    found = scan1d.candidates(_rows(spark, d), _design(spark, d), MIN_CORR, LOG10_P, LOG10_P_2D)
-    present = features.presence(found).select(F.col("row_id").alias("idx"), "ord")
-    return _pairs2d.co_occurrence(present, _design(spark, d))
+    """Classes of candidates that more than a third of the samples have together."""
+    des, found = _design(spark, d), _pair_features(spark, d)
+    reps = _pairs2d.pattern_classes(found, des).select(F.col("rep").alias("idx")).distinct()
+    return _pairs2d.co_occurrence(found.join(reps, "idx", "left_semi"), des, des.n // 3)
 
 
 def pair_dictionary(spark, d):
@@ -259,8 +311,9 @@ def pattern_classes(spark, d):
 
 def kmer_first_pos(spark, d):
     """The first place of the k-mer of every index entry; entries are named by their k-mer."""
-    index = _index(spark, d).select(F.col("canon").alias("idx"), F.col("canon").alias("kmer"))
-    return mapping.first_positions(table(spark, d, "contigs"), index, K).withColumnRenamed("idx", "canon")
+    ref = _ref(spark, d)
+    index = _index(spark, d, ref).select(F.col("canon").alias("idx"), F.col("canon").alias("kmer"))
+    return mapping.first_positions(ref, index, K).withColumnRenamed("idx", "canon")
 
 
 def map_2d_pairs(spark, d):
@@ -268,14 +321,11 @@ def map_2d_pairs(spark, d):
 
 
 def _grid(spark, d):
-    """A complete grid: nations by market segments, with the balance of their customers."""
-    nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("h"))
-    c = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("h"), "c_mktsegment").agg(F.sum("c_acctbal").alias("y"))
-    segments = sorted(r.c_mktsegment for r in c.select("c_mktsegment").distinct().collect())  # five market segments
-    number = F.array_position(F.array(*map(F.lit, segments)), F.col("c_mktsegment")) - 1
-    cells = nation.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(len(segments) - 1))))
-    sums = c.select("h", number.cast("int").alias("p"), "y")
-    return cells.join(sums, ["h", "p"], "left").select("h", "p", F.coalesce("y", F.lit(0.0)).alias("y"))
+    """A complete grid of hosts and pathogens: the mean price of the line items dealt to each cell by their part and supplier, 0 where there are none."""
+    cell = [F.pmod("l_partkey", F.lit(HOSTS)).cast("int").alias("h"), F.pmod("l_suppkey", F.lit(PATHOGENS)).cast("int").alias("p")]
+    sums = table(spark, d, "lineitem").groupBy(*cell).agg((F.avg("l_extendedprice") / 1e4).alias("y"))
+    every = spark.range(HOSTS * PATHOGENS).select((F.col("id") % HOSTS).cast("int").alias("h"), F.floor(F.col("id") / HOSTS).cast("int").alias("p"))
+    return every.join(F.broadcast(sums), ["h", "p"], "left").select("h", "p", F.coalesce("y", F.lit(0.0)).alias("y"))  # a row per cell
 
 
 def twoway_grid_sums(spark, d):
@@ -283,26 +333,31 @@ def twoway_grid_sums(spark, d):
     return g.groupBy("h").agg(F.round(F.sum("y"), 6).alias("y"), F.count("*").alias("cells"))
 
 
-def _sides(spark, d):
+def _labelled(spark, d):
     rows = _unique(spark, d)
-    host = twoway.classes(rows.select(F.col("row_id").alias("label"), F.substring("bit", 1, HOSTS).alias("bit")))
-    path = twoway.classes(rows.select(F.col("row_id").alias("label"), F.substring("bit", HOSTS + 1, PATHOGENS).alias("bit")))
-    return host, path
+    parts = ((1, HOSTS), (HOSTS + 1, PATHOGENS))
+    return [rows.select(F.col("row_id").alias("label"), F.substring("bit", *p).alias("bit")) for p in parts]
 
 
-def _twoway(spark, d, only):
-    host, path = _sides(spark, d)
-    return twoway.scan_twoway(host, path, twoway.grid(_grid(spark, d), HOSTS, PATHOGENS), interaction_only=only, drop_monomorphic=True)
+def _sides(spark, d):
+    return [twoway.classes(x) for x in _labelled(spark, d)]
+
+
+def _states(out):
+    """Ratios and what follows from them, where they are numbers; ``state`` tells infinite and undefined ones apart."""
+    state = F.when(F.isnan("ratio"), "undefined").when(F.col("ratio") == float("inf"), "infinite").otherwise("finite")
+    tell = lambda c: F.when(F.col("state") == "finite", F.round(c, 6)).alias(c)
+    return out.withColumn("state", state).select("a", "b", "state", tell("ratio"), tell("lrt"), F.when(F.col("state") != "undefined", F.round("p", 6)).alias("p"))
 
 
 def twoway_interaction(spark, d):
-    out = _twoway(spark, d, True)
-    return out.select("a", "b", F.round("ratio", 6).alias("ratio"), F.round("lrt", 6).alias("lrt"), F.round("p", 6).alias("p"))
+    """Pairs of patterns with p <= 0.05, and those of a constant feature, whose ratio is infinite."""
+    return _states(twoway.scan_twoway(*_sides(spark, d), twoway.grid(_grid(spark, d), HOSTS, PATHOGENS, center_y=True), interaction_only=True, log10_p=float(-np.log10(0.05))))
 
 
 def twoway_joint(spark, d):
-    out = _twoway(spark, d, False)
-    return out.select("a", "b", F.round("ratio", 6).alias("ratio"), F.round("lrt", 6).alias("lrt"))
+    """All pairs of patterns."""
+    return _states(twoway.scan_twoway(*_sides(spark, d), twoway.grid(_grid(spark, d), HOSTS, PATHOGENS, center_y=True)))
 
 
 def twoway_classes(spark, d):
@@ -310,13 +365,19 @@ def twoway_classes(spark, d):
     return _sides(spark, d)[0]
 
 
+def twoway_members(spark, d):
+    """``side, label, rep``: the features behind the labels of either side."""
+    host, path = (twoway.members(x) for x in _labelled(spark, d))
+    return host.select(F.lit("host").alias("side"), "label", "rep").unionByName(path.select(F.lit("pathogen").alias("side"), "label", "rep"))
+
+
 def twoway_pca_joint(spark, d):
-    """The joint test adjusted for two components of the hosts and one of the pathogens, out of all features."""
-    host, path = _sides(spark, d)
+    """The joint test adjusted for two components of the hosts and one of the pathogens, out of all features; pairs with p <= 0.05."""
     rows = _unique(spark, d)
     u = twoway.components(structure.gram_matrix(rows, np.arange(HOSTS)), 2, HOSTS)
     v = twoway.components(structure.gram_matrix(rows, np.arange(HOSTS, HOSTS + PATHOGENS)), 1, PATHOGENS)
-    return twoway.scan_twoway(host, path, twoway.grid(_grid(spark, d), HOSTS, PATHOGENS, u, v), drop_monomorphic=True).select("a", "b", "lrt", "p")
+    grid = twoway.grid(_grid(spark, d), HOSTS, PATHOGENS, u, v, center_y=True)
+    return twoway.scan_twoway(*_sides(spark, d), grid, log10_p=float(-np.log10(0.05))).select("a", "b", "lrt", "p")
 
 
 def effect_percentile_filter(spark, d):
@@ -333,7 +394,19 @@ def grid_dense_cells(spark, d):
 
 def grid_cell_max(spark, d):
     out = report.cell_peaks(_genome_pairs(spark, d), CELL, 50)
-    return out.select("cx", "cy", "x", "y", (F.round("log10p", 9) + F.lit(0.0)).alias("log10p"))
+    return out.select("cx", "cy", "x", "y", (F.round("log10p", 9) + F.lit(0.0)).alias("log10p"), "effect")
+
+
+def region_cells(spark, d):
+    """Cells of the middle half of the genome by its first half, from the corner of that region, in 500 steps."""
+    size = mapping.contig_offsets(table(spark, d, "contigs")).agg(F.max(F.col("start") + F.col("len"))).first()[0] or 0  # one row
+    first, second = (size // 4, size // 4 * 3), (0, size // 2)
+    chosen = report.region(_genome_pairs(spark, d), first, second)
+    return report.cell_counts(chosen, report.bin_width(first, second, 500), (first[0], second[0]))
+
+
+def marginal_sample(spark, d):
+    return report.marginal_sample(_genome_hits(spark, d), POINTS, columns=("hit_id", "pos")).select("hit_id", "pos", "effect", "p")
 
 
 def marker_sizes(spark, d):
@@ -368,24 +441,31 @@ def manhattan_points(spark, d):
 
 def stream_hits_1d(spark, d):
     """The scan as a stream over the files of the matrix, run to its end into the shared folder."""
-    from uuid import uuid4
-
-    out = f"{shared_dir(spark)}/stream-{uuid4().hex}"
+    out = scratch(spark, "stream")
     stream = streaming.row_stream(spark, f"{d}/kmer_rows.parque[t]")
     hits = streaming.stream_hits(stream, _design(spark, d), K, BITS, MIN_CORR, LOG10_P)
-    run = hits.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start()
+    run = hits.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.schema(hits.schema).parquet(out).select("row_id", F.round("t", 9).alias("t"))
 
 
+def stream_counts(spark, d):
+    """Tests by shard as a stream; rows count as often as they are delivered."""
+    out = scratch(spark, "stream")
+    counts = streaming.stream_counts(streaming.row_stream(spark, f"{d}/kmer_rows.parque[t]"), _design(spark, d), K, BITS, MIN_CORR)
+    run = counts.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(counts.schema).parquet(out)
+
+
 def queries():
     named = [
         p4_found, p4_clean, overlap, kmer_freq, maf_filter, bitstring_subset, bitstring_build, shard_quota_sample, sample_statistics, subsample_truncate,
-        matrix_batches, corr_prefilter, scan1d_intercept, scan1d_group_covariates, hits_1d, candidates_2d, tested_counts, bonferroni, gram_matrix,
-        pca_basis, pair_basis, scan1d_pca, kmer_canonical, index_build, contig_offsets, contig_header_lengths, reference_kmer_counts, map_hits, map_dual, density_filter,
-        map_merge_filter, pair_scan_input, pairs2d, pairs2d_cooccurrence, pair_dictionary, pattern_classes, kmer_first_pos, map_2d_pairs,
-        twoway_grid_sums, twoway_classes, twoway_interaction, twoway_joint, twoway_pca_joint, effect_percentile_filter, grid_density_bins, grid_dense_cells, grid_cell_max,
-        marker_sizes, pos_to_contig, chrom_bands, filter_merge, union_parts, manhattan_points, stream_hits_1d,
+        matrix_batches, matrix_sorted, corr_prefilter, scan1d_intercept, scan1d_group_covariates, hits_1d, candidates_2d, tested_counts, bonferroni, gram_matrix,
+        pca_basis, pair_basis, basis_properties, scan1d_pca, kmer_canonical, index_build, contig_offsets, contig_header_lengths, reference_kmer_counts, map_hits, map_dual, density_filter,
+        map_merge_filter, map_merge_filter_51, pair_scan_input, pairs2d, pairs2d_group_covariates, pairs2d_classes, pairs2d_cooccurrence, pair_dictionary, pattern_classes, kmer_first_pos, map_2d_pairs,
+        twoway_grid_sums, twoway_classes, twoway_members, twoway_interaction, twoway_joint, twoway_pca_joint, effect_percentile_filter, grid_density_bins, grid_dense_cells, grid_cell_max,
+        region_cells, marginal_sample, marker_sizes, pos_to_contig, chrom_bands, filter_merge, union_parts, manhattan_points, stream_hits_1d, stream_counts,
     ]
     return {f.__name__: f for f in named}
 
@@ -454,7 +534,22 @@ scanned as (select *, -n * ln(1 - r2) as t from res),
 
 
 _ONE, _GROUPED = _scan("0"), _scan("g")
-_P = erfc_sql("sqrt(t/2e0)")
+
+
+def _tail(x: str) -> str:
+    """erfc of an SQL expression x >= 0 by a power series up to 2 and a continued fraction beyond; nothing of the library is in it."""
+    series = "1e0"
+    for i in range(45, 0, -1):
+        series = f"(1e0+2e0*z*z/{2 * i + 1}e0*{series})"
+    fraction = "z"
+    for i in range(70, 0, -1):
+        fraction = f"(z+{i / 2}e0/{fraction})"
+    root = "sqrt(pi())"
+    near = f"1e0-2e0*z/{root}*exp(-z*z)*{series}"
+    return f"list_transform([{x}], lambda z: case when z < 2e0 then {near} else exp(-z*z)/{root}/{fraction} end)[1]"
+
+
+_P = _tail("sqrt(t/2e0)")
 _NEAR = "where abs(r) >= 0.2"
 
 _CONTIGS = r"""
@@ -472,13 +567,14 @@ good as (
 placed as (select hit_id, contig_idx, pos, pos + start as gpos, effect, p from good join offs using (contig_idx)),
 """
 
-_KMERS = _CONTIGS + r"""
+def _kmers(k: int) -> str:
+    return _CONTIGS + f"""
 cut as (
-  select contig_idx, off, substring(seq, off + 1, 1030) as part
-  from (select contig_idx, seq, unnest(range(0, length(seq) - 30, 1000)) as off from seqs where length(seq) >= 31)),
+  select contig_idx, off, substring(seq, off + 1, {1000 + k - 1}) as part
+  from (select contig_idx, seq, unnest(range(0, length(seq) - {k - 1}, 1000)) as off from seqs where length(seq) >= {k})),
 wins as (
-  select contig_idx, off + i - 1 as pos, substring(part, i, 31) as kmer
-  from (select contig_idx, off, part, unnest(range(1, length(part) - 30 + 1)) as i from cut)),
+  select contig_idx, off + i - 1 as pos, substring(part, i, {k}) as kmer
+  from (select contig_idx, off, part, unnest(range(1, length(part) - {k - 1} + 1)) as i from cut)),
 refk as (
   select contig_idx, pos::bigint as pos, kmer, least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) as canon from wins where not contains(kmer, 'N')),
 hitk as (select good.*, kmer, canon from good join refk using (contig_idx, pos)),
@@ -486,6 +582,9 @@ idx as (
   select canon, effect, p from hitk qualify row_number() over (partition by canon order by p, effect) = 1),
 """
 
+
+_KMERS = _kmers(31)
+
 _DENSE = """
 counted as (
   select *, count(*) over (partition by contig_idx order by pos range between current row and 199 following) as n from {src}),
@@ -511,21 +610,19 @@ counts as (select cx, cy, count(*) as n from cell group by 1, 2),
 """
 
 _GRID = """
-seg as (select seg, row_number() over (order by seg) - 1 as p from (select distinct c_mktsegment as seg from customer)),
 grid as (
-  select n_nationkey as h, p, coalesce(sum(c_acctbal), 0) as y from nation cross join seg
-  left join customer on c_nationkey = n_nationkey and c_mktsegment = seg group by 1, 2),
+  select h, p, coalesce(y, 0) as y from (select unnest(range(91)) as h) cross join (select unnest(range(5)) as p)
+  left join (select l_partkey % 91 as h, l_suppkey % 5 as p, avg(l_extendedprice) / 1e4 as y from lineitem group by 1, 2) using (h, p)),
 """
 
-_TWO = _ROWS + _GRID + """
-hb as (select substring(bit, 1, 25) as bit, min(row_id) as label, count(*) as members from rws group by 1),
-pb as (select substring(bit, 26, 5) as bit, min(row_id) as label, count(*) as members from rws group by 1),
-hx as (
-  select label, h, case when bit[h + 1] = '1' then 1 else 0 end - length(replace(bit, '0', '')) / 25.0 as v
-  from hb, (select unnest(range(25)) as h) where contains(bit, '0') and contains(bit, '1')),
-px as (
-  select label, p, case when bit[p + 1] = '1' then 1 else 0 end - length(replace(bit, '0', '')) / 5.0 as v
-  from pb, (select unnest(range(5)) as p) where contains(bit, '0') and contains(bit, '1')),
+_TWO = _ROWS + _GRID.replace("grid as", "cells_of as") + """
+grid as (select h, p, y - avg(y) over () as y from cells_of),
+hb as (select substring(bit, 1, 91) as bit, min(row_id) as label, count(*) as members from rws group by 1),
+pb as (select substring(bit, 92, 5) as bit, min(row_id) as label, count(*) as members from rws group by 1),
+hx as (select label, h, case when bit[h + 1] = '1' then 1 else 0 end - length(replace(bit, '0', '')) / 91e0 as v from hb, (select unnest(range(91)) as h)),
+px as (select label, p, case when bit[p + 1] = '1' then 1 else 0 end - length(replace(bit, '0', '')) / 5e0 as v from pb, (select unnest(range(5)) as p)),
+flat as (select label from hb where not (contains(bit, '0') and contains(bit, '1'))),
+plat as (select label from pb where not (contains(bit, '0') and contains(bit, '1'))),
 rss as (select sum(y * y) as rss0 from grid),
 hy as (select label, p, sum(v * y) as w from hx join grid using (h) group by 1, 2),
 hn as (select label, sum(v * v) as q from hx group by 1),
@@ -533,11 +630,52 @@ pn as (select label, sum(v * v) as q from px group by 1),
 hs as (select label, sum(v * y) as s from hx join grid using (h) group by 1),
 ps as (select label, sum(v * y) as s from px join grid using (p) group by 1),
 si as (select hy.label as a, px.label as b, sum(hy.w * px.v) as s from hy join px using (p) group by 1, 2),
+known as (select a, b, s, flat.label is not null or plat.label is not null as degenerate from si left join flat on flat.label = a left join plat on plat.label = b),
 duo as (
-  select a, b, si.s * si.s / (hn.q * pn.q) as d1, hs.s * hs.s / (5 * hn.q) + ps.s * ps.s / (25 * pn.q) as d2, rss0
-  from si join hn on hn.label = a join pn on pn.label = b join hs on hs.label = a join ps on ps.label = b, rss),
+  select a, b, degenerate, case when degenerate then 0 else k.s * k.s / (hn.q * pn.q) end as d1,
+    case when degenerate then 0 else hs.s * hs.s / (5 * hn.q) + ps.s * ps.s / (91 * pn.q) end as d2, rss0
+  from known k join hn on hn.label = a join pn on pn.label = b join hs on hs.label = a join ps on ps.label = b, rss),
+one as (select a, b, degenerate, rss0 / (rss0 - d1) as ratio, 455 * ln(rss0 / (rss0 - d1)) as t from duo),
+three as (select a, b, degenerate, rss0 / (rss0 - d1 - d2) as ratio, 455 * ln(rss0 / (rss0 - d1 - d2)) as t from duo),
+"""
+
+_CANDIDATES = _ONE + f"""
+cand as (select row_id, {_P} as p from scanned {_NEAR}),
+looks as (select row_id, string_agg(x::varchar, '' order by j) as bits from cells join cand using (row_id) where p <= 0.01 group by 1),
 """
 
+
+def _pair_sql(group: str) -> str:
+    """Pairs of classes: products of sums over groups of samples, each with an indicator as covariate."""
+    return "with " + _CANDIDATES + f"""
+reps as (select min(row_id) as row_id, count(*) as members from looks group by bits),
+cc as (select row_id, members, j, y, {group} as g from cells join reps using (row_id) where x = 1),
+gs as (select {group} as g, count(*) as ng, sum(y) as gy from ov group by 1),
+uy2 as (select sum(gy * gy / ng) as uy2 from gs),
+own as (
+  select row_id from (select row_id, g, count(*) as c from cc group by 1, 2) join gs using (g) group by 1 having sum(c) - sum(c * c / ng) > 1e-12),
+pg as (
+  select a.row_id as rep_a, b.row_id as rep_b, a.g, count(*) as c, sum(a.y) as sy
+  from cc a join cc b on a.j = b.j and (a.row_id < b.row_id or a.row_id = b.row_id and a.members > 1) group by 1, 2, 3),
+s2 as (
+  select rep_a, rep_b, sum(sy) - sum(c * gy / ng) as xy, sum(c) - sum(c * c / ng) as xx from pg join gs using (g) group by 1, 2),
+r as (
+  select rep_a, rep_b, xy / (xx * (y2 - uy2)) as effect, least(xy * xy / (xx * (y2 - uy2)), 1 - 1e-15) as r2, n
+  from s2, pop, uy2 where xx > 1e-12 and rep_a in (select row_id from own) and rep_b in (select row_id from own)),
+f as (select *, -n * ln(1 - r2) as t from r),
+q as (select *, {_P} as p from f)
+select rep_a, rep_b, round(effect + 3e-9, 6) + 0e0 as effect, round(r2, 9) as r2, round(t, 9) as t, round(-log10(p), 9) as log10p from q where p <= 0.0001"""
+
+
+def _every_row_counts() -> str:
+    """Counts of tested rows, redelivered ones included: the scan over rows that aren't told apart."""
+    every = _ONE.replace("select row_id, shard, upper(kmer)", "select row_number() over () as row_id, shard, upper(kmer)").replace("\n  qualify row_number() over (partition by row_id order by loaded_at desc) = 1)", ")")
+    return "with " + every.rstrip().rstrip(",") + f" select shard, count(*) as tested from scanned join rws using (row_id) {_NEAR} group by 1"
+
+
+_STATE = "select a, b, case when degenerate then '{kind}' else 'finite' end as state, case when not degenerate then round(ratio, 6) end as ratio, case when not degenerate then round(t, 6) end as lrt, {p} as p from {of}"
+_THREE = f"(case when t <= 0 then 1 else {_P} + exp(-t / 2) * sqrt(t / 2) * 2 / sqrt(pi()) end)"
+
 ORACLE = {
     "p4_found": _PARSED + "select line_id, reason from judged where reason is not null",
     "p4_clean": _PARSED + "select line_id, shard, upper(f[1]) as kmer, f[2] as bit from judged where reason is null",
@@ -545,13 +683,15 @@ ORACLE = {
     "kmer_freq": "with " + _ROWS + "f as (select row_id, sum(x)::int as ones, round(sum(x) / count(*), 9) as freq from cells group by 1) select * from f",
     "maf_filter": "with " + _ROWS + "f as (select row_id, least(avg(x), 1 - avg(x)) as maf from cells group by 1) select row_id, round(maf, 9) as maf from f where maf >= 0.05",
     "bitstring_subset": "with " + _ROWS + "f as (select row_id, string_agg(x::varchar, '' order by j) as bits from cells group by 1) select * from f",
-    "bitstring_build": "with " + _ROWS.rstrip().rstrip(",") + " select row_id, bit from rws where contains(bit, '1')",
-    "shard_quota_sample": "with " + _ROWS + """q as (select ceil(1000 / count(distinct shard)) as quota from rws)
+    "bitstring_build": "with " + _ROWS.rstrip().rstrip(",") + " select row_id, bit from rws",
+    "shard_quota_sample": "with " + _ROWS + """q as (select ceil(25000 / count(distinct shard)) as quota from rws)
       select shard, row_id from rws, q qualify row_number() over (partition by shard order by md5(concat('42|', row_id, '|', kmer, '|', bit)), row_id) <= quota""",
-    "sample_statistics": "with " + _ROWS + "q as (select ceil(1000 / count(distinct shard))::bigint as quota from rws) select shard, count(*) as seen, least(count(*), any_value(quota)) as kept from rws, q group by 1",
+    "sample_statistics": "with " + _ROWS + "q as (select ceil(25000 / count(distinct shard))::bigint as quota from rws) select shard, count(*) as seen, least(count(*), any_value(quota)) as kept from rws, q group by 1",
     "contig_header_lengths": r"select distinct contig_idx, name, regexp_extract(name, 'length_(\d+)', 1)::bigint as len from contigs where contig_idx is not null and regexp_extract(name, 'length_(\d+)', 1) <> ''",
     "subsample_truncate": "with " + _ROWS.rstrip().rstrip(",") + " select row_id from rws order by md5(concat('42|', row_id, '|', kmer, '|', bit)), row_id limit 500",
     "matrix_batches": "with " + _ROWS + "s as (select shard, ((row_number() over (order by shard) - 1) // 10)::int as batch from (select distinct shard from rws)) select row_id, batch from rws join s using (shard)",
+    "matrix_sorted": "with " + _ROWS + "s as (select shard, ((row_number() over (order by shard) - 1) // 10)::int as batch from (select distinct shard from rws)) select row_id, batch, row_number() over (order by batch, bit, kmer, row_id) - 1 as place from rws join s using (shard)",
+    "basis_properties": "with " + _ROWS.rstrip().rstrip(",") + " select basis, count(*) as samples, any_value(trace) as trace, 0e0 as constant, 0e0 as idempotent, any_value(invariant) as invariant from ov, (values ('single', 4e0, 1e0), ('pair', 10e0, null)) t(basis, trace, invariant) group by 1",
     "corr_prefilter": "with " + _ONE.rstrip().rstrip(",") + f" select row_id, round(r, 9) as r from scanned {_NEAR}",
     "scan1d_intercept": "with " + _ONE.rstrip().rstrip(",") + " select row_id, ones, round(effect + 3e-9, 6) + 0e0 as effect, round(beta + 3e-9, 6) + 0e0 as beta, round(r2 + 3e-9, 6) + 0e0 as r2, round(t + 3e-9, 6) + 0e0 as t from scanned",
     "scan1d_group_covariates": "with " + _GROUPED.rstrip().rstrip(",") + " select row_id, ones, round(effect + 3e-9, 6) + 0e0 as effect, round(beta + 3e-9, 6) + 0e0 as beta, round(r2 + 3e-9, 6) + 0e0 as r2, round(t + 3e-9, 6) + 0e0 as t from scanned",
@@ -571,20 +711,19 @@ ORACLE = {
     "map_dual": "with " + _KMERS + "h as (select kmer, effect, p from hitk qualify row_number() over (partition by kmer order by p, effect) = 1) select r.contig_idx, r.pos, coalesce(f.effect, b.effect) as effect, coalesce(f.p, b.p) as p from refk r left join h f on f.kmer = r.kmer left join h b on b.kmer = reverse(translate(r.kmer, 'ACGT', 'TGCA')) where coalesce(f.p, b.p) is not null",
     "density_filter": "with " + _CONTIGS + "d as (select distinct contig_idx, pos from good)," + _DENSE.format(src="d").rstrip().rstrip(",") + " select contig_idx, pos from kept",
     "map_merge_filter": "with " + _KMERS + "m as (select contig_idx, pos, effect, p from refk join idx using (canon))," + _DENSE.format(src="m").rstrip().rstrip(",") + " select pos + start as pos, effect, p from kept join offs using (contig_idx)",
+    "map_merge_filter_51": "with " + _kmers(51) + "m as (select contig_idx, pos, effect, p from refk join idx using (canon))," + _DENSE.format(src="m").rstrip().rstrip(",") + " select pos + start as pos, effect, p from kept join offs using (contig_idx)",
     "pair_scan_input": "with " + _KMERS + """hb as (select hitk.* from hitk where bitstring is not null),
       ib as (select canon, effect, p from hb qualify row_number() over (partition by canon order by p, effect) = 1),
       bb as (select canon, bitstring as bit from hb qualify row_number() over (partition by canon order by p, bitstring) = 1)
       select pos + start as pos, bit, effect, p from refk join ib using (canon) join bb using (canon) join offs using (contig_idx)""",
-    "pairs2d": "with " + _ONE + f"""cand as (select row_id, {_P} as p from scanned {_NEAR}),
-      cc as (select cells.row_id, j, y from cells join cand using (row_id) where p <= 0.01 and x = 1),
-      pp as (select a.row_id as idx_a, b.row_id as idx_b, count(*) as c, sum(a.y) as sy from cc a join cc b on a.j = b.j and a.row_id < b.row_id group by 1, 2),
-      s2 as (select idx_a, idx_b, sy - c * my as xy, c - c * c / n as xx, syy, n from pp, pop),
-      r as (select idx_a, idx_b, least(xy * xy / (xx * syy), 1 - 1e-15) as r2, n from s2 where xx > 1e-12),
-      f as (select idx_a, idx_b, r2, -n * ln(1 - r2) as t from r)
-      select idx_a, idx_b, round(r2, 9) as r2, round(t, 9) as t from f where {erfc_sql("sqrt(t/2e0)")} <= 0.0001""",
-    "pairs2d_cooccurrence": "with " + _ONE + f"""cand as (select row_id, {_P} as p from scanned {_NEAR}),
-      cc as (select cells.row_id, j from cells join cand using (row_id) where p <= 0.001 and x = 1)
-      select a.row_id as idx_a, b.row_id as idx_b, count(*) as "both" from cc a join cc b on a.j = b.j and a.row_id < b.row_id group by 1, 2""",
+    "pairs2d": _pair_sql("0"),
+    "pairs2d_group_covariates": _pair_sql("g"),
+    "pairs2d_classes": "with " + _CANDIDATES + "select row_id as idx, min(row_id) over (partition by bits) as rep from looks",
+    "pairs2d_cooccurrence": "with " + _CANDIDATES + """
+      reps as (select min(row_id) as row_id from looks group by bits),
+      cc as (select row_id, j from cells join reps using (row_id) where x = 1)
+      select a.row_id as idx_a, b.row_id as idx_b, count(*) as "both" from cc a join cc b on a.j = b.j and a.row_id < b.row_id
+      group by 1, 2 having count(*) >= (select count(*) // 3 from ov)""",
     "pair_dictionary": "with " + _ONE + f"""cand as (select least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) as kmer, bit, {_P} as p from scanned join rws using (row_id) {_NEAR}),
       once as (select kmer, min(bit) as bit from cand where p <= 0.01 group by 1) select row_number() over (order by kmer) - 1 as idx, kmer, bit from once""",
     "pattern_classes": "with " + _ROWS + "s as (select row_id as idx, string_agg(x::varchar, '' order by j) as bits from cells group by 1) select idx, min(idx) over (partition by bits) as rep from s",
@@ -592,12 +731,22 @@ ORACLE = {
     "map_2d_pairs": "with " + _PAIRS.rstrip().rstrip(",") + " select pos_a, pos_b, effect, p from gp",
     "twoway_grid_sums": "with " + _GRID.rstrip().rstrip(",") + " select h, round(sum(y), 6) as y, count(*) as cells from grid group by 1",
     "twoway_classes": "with " + _TWO.rstrip().rstrip(",") + " select bit, label, members from hb",
-    "twoway_interaction": "with " + _TWO + f"o as (select a, b, rss0 / (rss0 - d1) as ratio, 125 * ln(rss0 / (rss0 - d1)) as t from duo) select a, b, round(ratio, 6) as ratio, round(t, 6) as lrt, round(case when t <= 0 then 1 else {_P} end, 6) as p from o",
-    "twoway_joint": "with " + _TWO + "o as (select a, b, rss0 / (rss0 - d1 - d2) as ratio from duo) select a, b, round(ratio, 6) as ratio, round(125 * ln(ratio), 6) as lrt from o",
+    "twoway_members": "with " + _TWO.rstrip().rstrip(",") + """
+      select 'host' as side, row_id as label, min(row_id) over (partition by substring(bit, 1, 91)) as rep from rws
+      union all select 'pathogen', row_id, min(row_id) over (partition by substring(bit, 92, 5)) from rws""",
+    "twoway_interaction": "with " + _TWO + f"o as (select *, case when degenerate then 0 when t <= 0 then 1 else {_P} end as pv from one) " + _STATE.format(kind="infinite", p="round(pv, 6)", of="o") + " where pv <= 0.05",
+    "twoway_joint": "with " + _TWO.rstrip().rstrip(",") + _STATE.format(kind="undefined", p=f"case when not degenerate then round({_THREE}, 6) end", of="three").replace("select", " select", 1),
     "effect_percentile_filter": "with " + _PAIRS + "c as (select quantile_cont(abs(effect), 0.9) as cut from gp) select pos_a, pos_b, effect from gp, c where abs(effect) >= cut",
     "grid_density_bins": "with " + _PAIRS.rstrip().rstrip(",") + " select * from counts",
     "grid_dense_cells": "with " + _PAIRS + "c as (select quantile_cont(n::double, 0.9) as cut from counts) select cx, cy, n from counts, c where n >= cut",
-    "grid_cell_max": "with " + _PAIRS + "c as (select quantile_cont(n::double, 0.5) as cut from counts), d as (select cx, cy from counts, c where n >= cut) select cx, cy, (cx + 0.5::double) * 200000 as x, (cy + 0.5::double) * 200000 as y, round(max(-log10(greatest(p, 1e-300))), 9) + 0e0 as log10p from cell join d using (cx, cy) group by 1, 2",
+    "grid_cell_max": "with " + _PAIRS + """c as (select quantile_cont(n::double, 0.5) as cut from counts), d as (select cx, cy from counts, c where n >= cut),
+      best as (select cx, cy, -log10(greatest(p, 1e-300)) as l, effect, pos_a, pos_b from cell join d using (cx, cy) qualify row_number() over (partition by cx, cy order by l desc, effect desc) = 1)
+      select cx, cy, (cx + 0.5::double) * 200000 as x, (cy + 0.5::double) * 200000 as y, round(l, 9) + 0e0 as log10p, effect from best""",
+    "region_cells": "with " + _PAIRS + """e as (select max(start + len)::bigint as size from offs),
+      r as (select size // 4 as low, size // 4 * 3 as high, size // 2 as half, greatest(size // 4 * 3 - size // 4, size // 2) / 500e0 as w from e)
+      select trunc((pos_a - low) / w)::bigint as cx, trunc(pos_b / w)::bigint as cy, count(*) as n from gp, r where pos_a >= low and pos_a < high and pos_b >= 0 and pos_b < half group by 1, 2""",
+    "marginal_sample": "with " + _CONTIGS.rstrip().rstrip(",") + " select hit_id, gpos as pos, effect, p from placed order by md5(concat('42|', hit_id, '|', gpos)), hit_id limit 2000",
+    "stream_counts": _every_row_counts(),
     "marker_sizes": "with " + _PAIRS + "e as (select min(n) as lo, max(n) as hi from counts) select cx, cy, round(2.5 + coalesce((n - lo) / nullif(hi - lo, 0), 0) * 5.5::double, 6) as size from counts, e",
     "pos_to_contig": "with " + _CONTIGS.rstrip().rstrip(",") + " select hit_id, gpos as pos, o.contig_idx, gpos - o.start as local from placed left join offs o on gpos >= o.start and gpos < o.start + o.len",
     "chrom_bands": "with " + _CONTIGS + r"b as (select case when regexp_extract(name, '(?i)^(?:chr(?:om(?:osome)?)?)[_\-]?0*(\d+)', 1) <> '' then 'Chr' || regexp_extract(name, '(?i)^(?:chr(?:om(?:osome)?)?)[_\-]?0*(\d+)', 1) else 'Other' end as label, start, start + len as e from offs) select label, min(start) as first, max(e) as last, count(*) as contigs, (min(start) + max(e)) / 2 as mid from b group by 1",

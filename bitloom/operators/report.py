@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from bitloom.operators.features import subsample
 from bitloom.plans.runtime import checkpointed
 
+#: The least p-value a plot shows (fixed value).
 LEAST_P = 1e-300
 
 
@@ -42,7 +44,7 @@ def value_percentile(df: DataFrame, value: Column, percent: float) -> float | No
     """The exact, interpolated percentile of a column by a distributed sort: one row comes back."""
     values = df.select(value.alias("v")).filter("v is not null and not isnan(v)")
     counted = values.groupBy("v").agg(F.count("*").alias("c")).repartitionByRange("v").sortWithinPartitions("v")
-    sizes = checkpointed(counted.withColumn("part", F.spark_partition_id()))
+    sizes = checkpointed(counted.withColumn("_id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("_id", 33)))
     parts = sizes.groupBy("part").agg(F.sum("c").alias("n")).orderBy("part").collect()  # a row per partition
     total = sum(r.n for r in parts)
     if not total:
@@ -54,9 +56,17 @@ def value_percentile(df: DataFrame, value: Column, percent: float) -> float | No
 
     def near(rank: int) -> float:
         part = max((p for p, s in shift.items() if s <= rank), key=lambda p: shift[p])
-        w = W.partitionBy("part").orderBy("v")
-        run = sizes.filter(F.col("part") == part).withColumn("upto", F.sum("c").over(w))
-        return run.filter(F.col("upto") > rank - shift[part]).agg(F.min("v")).first()[0]
+        # stretches of the partition are counted before one of them is summed up value by value
+        stretch = F.shiftright(F.col("_id"), 16)
+        run = sizes.filter(F.col("part") == part).withColumn("_stretch", stretch)
+        before, chosen = shift[part], None
+        for r in run.groupBy("_stretch").agg(F.sum("c").alias("n")).orderBy("_stretch").toArrow().to_pylist():  # one row in 65,536
+            if before + r["n"] > rank:
+                chosen = r["_stretch"]
+                break
+            before += r["n"]
+        upto = run.filter(F.col("_stretch") == chosen).withColumn("upto", F.sum("c").over(W.partitionBy("_stretch").orderBy("v")))
+        return upto.filter(F.col("upto") > rank - before).agg(F.min("v")).first()[0]
 
     low = near(math.floor(at))
     high = near(math.ceil(at))
@@ -71,37 +81,65 @@ def effect_cut(pairs: DataFrame, percent: float) -> DataFrame:
     return pairs.filter((F.abs("effect") >= F.lit(cut)) & ~F.isnan("effect"))
 
 
-def cells(pairs: DataFrame, width: int) -> DataFrame:
-    """``pairs`` with the grid cell (``cx, cy``) of their two positions."""
-    return pairs.withColumn("cx", F.floor(F.col("pos_a") / width)).withColumn("cy", F.floor(F.col("pos_b") / width))
+def region(pairs: DataFrame, first: tuple[float, float] | None = None, second: tuple[float, float] | None = None) -> DataFrame:
+    """Pairs with ``pos_a`` in the range ``first`` and ``pos_b`` in ``second``, lower ends included and upper ones not."""
+    for name, ends in (("pos_a", first), ("pos_b", second)):
+        if ends is not None:
+            pairs = pairs.filter((F.col(name) >= ends[0]) & (F.col(name) < ends[1]))
+    return pairs
 
 
-def cell_counts(pairs: DataFrame, width: int) -> DataFrame:
+def bin_width(first: tuple[float, float], second: tuple[float, float], steps: int = 5_000_000) -> float:
+    """The width of cells where none is given: the longer range in so many steps."""
+    return max(first[1] - first[0], second[1] - second[0]) / steps
+
+
+def cells(pairs: DataFrame, width: float, origin: tuple[float, float] = (0, 0)) -> DataFrame:
+    """``pairs`` with the grid cell (``cx, cy``) of their two positions, counted from ``origin`` and cut off towards zero."""
+    for name, pos, start in (("cx", "pos_a", origin[0]), ("cy", "pos_b", origin[1])):
+        pairs = pairs.withColumn(name, ((F.col(pos) - F.lit(start)) / F.lit(width)).cast("bigint"))
+    return pairs
+
+
+def cell_counts(pairs: DataFrame, width: float, origin: tuple[float, float] = (0, 0)) -> DataFrame:
     """``cx, cy, n``."""
-    return cells(pairs, width).groupBy("cx", "cy").agg(F.count("*").alias("n"))
+    return cells(pairs, width, origin).groupBy("cx", "cy").agg(F.count("*").alias("n"))
 
 
-def dense_cells(pairs: DataFrame, width: int, percent: float) -> DataFrame:
+def dense_cells(pairs: DataFrame, width: float, percent: float, origin: tuple[float, float] = (0, 0)) -> DataFrame:
     """``cx, cy, n`` of cells whose count reaches the percentile of all counts."""
-    counts = checkpointed(cell_counts(pairs, width))
+    counts = checkpointed(cell_counts(pairs, width, origin))
     cut = value_percentile(counts, F.col("n").cast("double"), percent)
     return counts if cut is None else counts.filter(F.col("n") >= cut)
 
 
-def cell_peaks(pairs: DataFrame, width: int, percent: float = 0) -> DataFrame:
-    """Of each dense cell its most significant pair: ``cx, cy, x, y, log10p, effect``, placed at the cell's centre.
+def cell_peaks(pairs: DataFrame, width: float, percent: float = 0, origin: tuple[float, float] = (0, 0)) -> DataFrame:
+    """Of each dense cell its most significant pair: ``cx, cy, x, y, log10p, effect``, placed at the cell's centre; of equal ones the greater effect.
 
     The peak is a maximum kept per task before the shuffle, so that a crowded cell is no large group.
     """
-    at = cells(pairs, width)
+    at = cells(pairs, width, origin)
     if percent > 0:
-        at = at.join(dense_cells(pairs, width, percent).select("cx", "cy"), ["cx", "cy"], "left_semi")
+        at = at.join(dense_cells(pairs, width, percent, origin).select("cx", "cy"), ["cx", "cy"], "left_semi")
     best = F.max(F.struct(minus_log10(F.col("p")).alias("log10p"), "effect", "pos_a", "pos_b"))
     top = at.groupBy("cx", "cy").agg(best.alias("m"))
-    return top.select("cx", "cy", ((F.col("cx") + 0.5) * width).alias("x"), ((F.col("cy") + 0.5) * width).alias("y"), "m.log10p", "m.effect")
+    centre = lambda c, start: (F.lit(float(start)) + (F.col(c) + 0.5) * width).alias({"cx": "x", "cy": "y"}[c])
+    return top.select("cx", "cy", centre("cx", origin[0]), centre("cy", origin[1]), "m.log10p", "m.effect")
+
+
+def marginal_sample(points: DataFrame, limit: int = 50_000, seed: int = 42, columns: tuple[str, ...] = ("pos", "effect", "p")) -> DataFrame:
+    """Points drawn beside a plot: a random subset of ``limit``, all if there are no more; equal points draw as one."""
+    return subsample(points, limit, seed, list(columns))
+
+
+#: The sizes of markers (fixed values).
+_SIZES = 2.5, 8.0
+
+#: How a contig's name tells its chromosome (fixed value).
+_CHROMOSOME = r"(?i)^(?:chr(?:om(?:osome)?)?)[_\-]?0*(\d+)"
 
 
-def marker_sizes(points: DataFrame, value: str, low: float = 2.5, high: float = 8.0) -> DataFrame:
+def marker_sizes(points: DataFrame, value: str, low: float = _SIZES[0], high: float = _SIZES[1]) -> DataFrame:
     """``points`` with ``size``: the value scaled onto a range of sizes; the lower end if all are equal."""
     ends = points.agg(F.min(value).alias("_a"), F.max(value).alias("_b"))  # one row
     share = F.coalesce(F.try_divide(F.col(value) - F.col("_a"), F.col("_b") - F.col("_a")), F.lit(0.0))
@@ -110,7 +148,7 @@ def marker_sizes(points: DataFrame, value: str, low: float = 2.5, high: float =
 
 def chromosome_label(name: Column) -> Column:
     """``Chr`` and its number out of a contig's name, ``Other`` where it has none."""
-    number = F.regexp_extract(name, r"(?i)^(?:chr(?:om(?:osome)?)?)[_\-]?0*(\d+)", 1)
+    number = F.regexp_extract(name, _CHROMOSOME, 1)
     return F.when(number != "", F.concat(F.lit("Chr"), number)).otherwise(F.lit("Other"))
 
 
@@ -130,13 +168,20 @@ def header_lengths(contigs: DataFrame) -> DataFrame:
 def locate(points: DataFrame, offsets: DataFrame, block: int = 1_000_000) -> DataFrame:
     """``points`` (genome-wide ``pos``) with ``contig_idx, local``; positions beyond all contigs get null.
 
-    A range lookup as an equi-join: contigs are listed under each block of positions they touch.
+    A range lookup without a range join: contigs are listed in each block of positions they touch,
+    and within a block each point takes the last contig that starts before it, in one sort of the block.
     """
     spans = offsets.filter("len > 0").select("contig_idx", "start", (F.col("start") + F.col("len")).alias("end"))
-    listed = spans.withColumn("_block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block))))
-    keyed = points.withColumn("_block", F.floor(F.col("pos") / block))
-    joined = keyed.join(listed, [keyed["_block"] == listed["_block"], keyed["pos"] >= listed["start"], keyed["pos"] < listed["end"]], "left")
-    return joined.select(*points.columns, "contig_idx", (F.col("pos") - F.col("start")).alias("local"))
+    each = spans.withColumn("_block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block))))
+    none = F.lit(None)
+    kind = points.select(F.struct(*points.columns).alias("p")).schema["p"].dataType
+    span = F.struct("contig_idx", "start", "end")
+    starts = each.select("_block", F.greatest(F.col("start"), F.col("_block") * block).alias("_at"), F.lit(0).alias("_kind"), span.alias("_span"), none.cast(kind).alias("_point"))
+    asked = points.select(F.floor(F.col("pos") / block).alias("_block"), F.col("pos").alias("_at"), F.lit(1).alias("_kind"), none.cast("struct<contig_idx:bigint,start:bigint,end:bigint>").alias("_span"), F.struct(*points.columns).alias("_point"))
+    w = W.partitionBy("_block").orderBy("_at", "_kind")
+    met = starts.unionByName(asked).withColumn("s", F.last("_span", True).over(w.rowsBetween(W.unboundedPreceding, 0))).filter("_kind = 1")
+    inside = F.col("_at") < F.col("s.end")
+    return met.select("_point.*", F.when(inside, F.col("s.contig_idx")).alias("contig_idx"), F.when(inside, F.col("_at") - F.col("s.start")).alias("local"))
 
 
 def merged_counts(parts: list[DataFrame]) -> DataFrame:

@@ -38,8 +38,9 @@ def gram(rows: DataFrame, ords: np.ndarray) -> DataFrame:
 def gram_matrix(rows: DataFrame, ords: np.ndarray) -> np.ndarray:
     """The Gram matrix itself: one number per pair of samples, whatever the number of rows."""
     g = np.zeros((len(ords), len(ords)))
-    for r in gram(rows, ords).collect():  # n (n + 1) / 2 rows
-        g[r.j, r.i] = g[r.i, r.j] = r.g
+    got = gram(rows, ords).toArrow()  # n (n + 1) / 2 rows
+    j, i, n = (got.column(c).to_numpy() for c in ("j", "i", "g"))
+    g[j, i] = g[i, j] = n
     return g
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.functions.special import chi2_sf1, chi2_sf3
+from bitloom.functions.special import chi2_sf1, chi2_sf3, statistic_cut, statistic_cut3
 from bitloom.operators.scan1d import bit_matrix
 from bitloom.operators.structure import centred, orthonormal
 from bitloom.plans.runtime import checkpointed
@@ -37,10 +37,12 @@ class Grid:
 def grid(observations: DataFrame, hosts: int, pathogens: int, host: np.ndarray | None = None, pathogen: np.ndarray | None = None, center_y: bool = False) -> Grid:
     """The grid of ``h, p, y``; collects one number per cell. Every cell must come exactly once."""
     y = np.full((hosts, pathogens), np.nan)
-    rows = observations.select("h", "p", "y").collect()
-    for r in rows:
-        y[r.h, r.p] = r.y
-    if len(rows) != hosts * pathogens or np.isnan(y).any():
+    cells = observations.select("h", "p", F.col("y").cast("double").alias("y")).toArrow()  # hosts x pathogens
+    h, p, v = (cells.column(c).to_numpy() for c in ("h", "p", "y"))
+    if len(v) != hosts * pathogens or np.isnan(h).any() or np.isnan(p).any():
+        raise ValueError("the grid of observations isn't complete")
+    y[h, p] = v
+    if np.isnan(y).any():
         raise ValueError("the grid of observations isn't complete")
     none = lambda n: np.zeros((n, 0))
     return Grid(y - y.mean() if center_y else y, none(hosts) if host is None else host, none(pathogens) if pathogen is None else pathogen)
@@ -91,11 +93,14 @@ def likelihood_ratios(hosts: np.ndarray, pathogens: np.ndarray, d: Grid, interac
         return ratio, delta, n * np.log(ratio)
 
 
-def scan_twoway(hosts: DataFrame, pathogens: DataFrame, d: Grid, interaction_only: bool = False, drop_monomorphic: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``a, b, ratio, delta, lrt, p`` of every host feature (``label, bit``) by every pathogen feature.
+def scan_twoway(
+    hosts: DataFrame, pathogens: DataFrame, d: Grid, interaction_only: bool = False, drop_monomorphic: bool = False, log10_p: float = 0.0, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``a, b, ratio, delta, lrt, p`` of host features (``label, bit``) by pathogen features.
 
-    All pairs are the result. Both sides are dealt into blocks of bounded size and a pair of blocks is one
-    task. Hand in one feature per bit pattern and join the members afterwards, where
+    Both sides are dealt into blocks of bounded size and a pair of blocks is one
+    task. With ``log10_p`` only pairs at or under that p-value leave the task; without, all do, undefined ones too.
+    Hand in one feature per bit pattern (:func:`classes`) and join the members (:func:`members`) afterwards, where
     many features look the same. Labels are unique; rows with null or wrongly long bits are left out;
     p is 0 for an infinite and NaN for an undefined ratio.
     """
@@ -110,15 +115,19 @@ def scan_twoway(hosts: DataFrame, pathogens: DataFrame, d: Grid, interaction_onl
     (h, nh), (p, np_) = sides
     left = h.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(np_ - 1)))).select(F.col("own").alias("ba"), F.col("other").alias("bb"), "label", "bit")
     right = p.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nh - 1)))).select(F.col("other").alias("ba"), F.col("own").alias("bb"), "label", "bit")
+    shared = hosts.sparkSession.sparkContext.broadcast(d)  # as large as the grid
+    least = (statistic_cut(log10_p) if interaction_only else statistic_cut3(log10_p)) if log10_p > 0 else None
 
     none = pd.DataFrame({c: pd.Series([], dtype=object if c in "ab" else float) for c in ("a", "b", "ratio", "delta", "lrt")})
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return none
-        x, z = bit_matrix(pa.array(a["bit"]), np.arange(d.y.shape[0])), bit_matrix(pa.array(b["bit"]), np.arange(d.y.shape[1]))
-        ratio, delta, lrt = likelihood_ratios(x, z, d, interaction_only)
-        return pd.DataFrame({"a": np.repeat(a["label"].to_numpy(), len(b)), "b": np.tile(b["label"].to_numpy(), len(a)), "ratio": ratio.ravel(), "delta": delta.ravel(), "lrt": lrt.ravel()})
+        g = shared.value
+        x, z = bit_matrix(pa.array(a["bit"]), np.arange(g.y.shape[0])), bit_matrix(pa.array(b["bit"]), np.arange(g.y.shape[1]))
+        ratio, delta, lrt = likelihood_ratios(x, z, g, interaction_only)
+        i, j = np.nonzero(np.ones(lrt.shape, bool) if least is None else lrt >= least)
+        return pd.DataFrame({"a": a["label"].to_numpy()[i], "b": b["label"].to_numpy()[j], "ratio": ratio[i, j], "delta": delta[i, j], "lrt": lrt[i, j]})
 
     kinds = [dict(x.dtypes)["label"] for x in (hosts, pathogens)]
     out = left.groupBy("ba", "bb").cogroup(right.groupBy("ba", "bb")).applyInPandas(run, f"a {kinds[0]}, b {kinds[1]}, ratio double, delta double, lrt double")
@@ -130,3 +139,9 @@ def scan_twoway(hosts: DataFrame, pathogens: DataFrame, d: Grid, interaction_onl
 def classes(features: DataFrame) -> DataFrame:
     """``label, bit, members``: one feature per bit pattern, the smallest label, and how many look so."""
     return features.groupBy("bit").agg(F.min("label").alias("label"), F.count("*").alias("members"))
+
+
+def members(features: DataFrame) -> DataFrame:
+    """``label, rep``: every feature with the label that stands for its bit pattern in :func:`classes`."""
+    reps = features.groupBy("bit").agg(F.min("label").alias("rep"))
+    return features.select("label", "bit").join(reps, "bit").select("label", "rep")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from functools import cache
@@ -56,6 +57,24 @@ class TwoWaySettings:
     interaction_only: bool = False
     center_y: bool = False
     drop_monomorphic: bool = False
+    log10_p: float = 0.0
+
+
+def version_of(df: DataFrame) -> str:
+    """What tells a table read from files apart from later ones: its files with sizes and times, and what was done to them.
+
+    A table that isn't read from files has no such version; that is an error.
+    """
+    spark, files = df.sparkSession, sorted(df.inputFiles())
+    if not files:
+        raise ValueError("name the version of inputs that are not read from files")
+    stats = []
+    for name in files:
+        where = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where)
+        stats.append([name, status.getLen(), status.getModificationTime()])
+    plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString())
+    return hashlib.sha256(json.dumps([stats, plan]).encode()).hexdigest()
 
 
 @dataclass
@@ -100,23 +119,29 @@ def _basis(d: features.Design, kept: DataFrame) -> features.Design:
 
 
 def run_association(
-    rows: DataFrame, samples: DataFrame, phenotype: DataFrame, contigs: DataFrame, root: str, settings: Settings | None = None, inputs: str = "", dry_run: bool = False
+    rows: DataFrame, samples: DataFrame, phenotype: DataFrame, contigs: DataFrame, root: str, settings: Settings | None = None, inputs: str | None = None, dry_run: bool = False
 ) -> tuple[dict[str, DataFrame | None], list[tuple[str, str]]]:
     """All tables of the single-feature and pair analysis, and what was done for each.
 
     Bases come from all features that pass the frequency filter, in one pass for both.
-    ``inputs`` names the version of the inputs; a new one makes everything anew. Tables: ``sample``,
+    ``inputs`` names the version of the inputs; a new one makes everything anew. Without it, the files
+    the tables are read from tell their version (:func:`version_of`). Tables: ``sample``,
     ``basis``, ``basis_2d``, ``hits``, ``counts``, ``threshold``, ``index``, ``mapped``, ``points`` and, with pairs,
     ``candidates``, ``dictionary``, ``pairs``, ``mapped_pairs``.
     """
     s = settings or Settings()
     spark = rows.sparkSession
     st = Stages(spark, root, dry_run)
+    inputs = inputs or "|".join(map(version_of, (rows, samples, phenotype, contigs)))
     d = features.design(samples, phenotype)
     bits = samples.count()
     valid = features.valid_rows(rows, s.k, bits)
     out: dict[str, DataFrame | None] = {}
 
+    @cache
+    def ref() -> DataFrame:
+        return mapping.written_reference(contigs)
+
     @cache
     def bases() -> tuple[np.ndarray, np.ndarray]:
         common = features.maf_filter(features.unique_rows(rows, s.k, bits), d, s.maf_percent)
@@ -132,21 +157,22 @@ def run_association(
     add("counts", ["k", "min_corr"], [], lambda: scan1d.tested_counts(valid, d, s.min_corr))
     add("threshold", ["alpha"], ["counts"], lambda: report.bonferroni(out["counts"], s.alpha))
     add("index", ["k"], ["hits"], lambda: mapping.build_index(out["hits"], s.k))
-    add("mapped", ["window", "density", "map_log10_p"], ["index"], lambda: mapping.map_merge_filter(contigs, out["index"], s.k, s.window, s.density, 10**-s.map_log10_p))
+    add("mapped", ["window", "density", "map_log10_p"], ["index"], lambda: mapping.map_merge_filter(ref(), out["index"], s.k, s.window, s.density, 10**-s.map_log10_p))
     add("points", [], ["mapped"], lambda: report.manhattan_points(out["mapped"]))
     if s.pairs:
         add("basis_2d", ["k", "rank", "zscore", "maf_percent"], [], lambda: structure.basis_table(spark, d, bases()[1]))
         add("candidates", ["min_corr", "log10_p", "log10_p_2d_input"], ["basis"], lambda: scan1d.candidates(valid, adjusted("basis"), s.min_corr, s.log10_p, s.log10_p_2d_input))
         add("dictionary", ["k"], ["candidates"], lambda: pairs2d.renumbered(out["candidates"], s.k))
         add("pairs", ["log10_p_2d"], ["dictionary", "basis_2d"], lambda: pairs2d.scan_pairs(out["dictionary"], adjusted("basis_2d"), s.log10_p_2d))
-        add("mapped_pairs", ["k"], ["pairs"], lambda: mapping.map_pairs(out["pairs"], mapping.first_positions(contigs, out["dictionary"], s.k)))
+        add("mapped_pairs", ["k"], ["pairs"], lambda: mapping.map_pairs(out["pairs"], mapping.first_positions(ref(), out["dictionary"], s.k)))
     return out, st.log
 
 
 def run_two_populations(
-    hosts: DataFrame, pathogens: DataFrame, observations: DataFrame, root: str, settings: TwoWaySettings | None = None, inputs: str = "", dry_run: bool = False
+    hosts: DataFrame, pathogens: DataFrame, observations: DataFrame, root: str, settings: TwoWaySettings | None = None, inputs: str | None = None, dry_run: bool = False
 ) -> tuple[DataFrame | None, list[tuple[str, str]]]:
-    """The two-population table ``twoway`` (``a, b, ratio, delta, lrt, p``) of features ``label, bit`` and a complete grid ``h, p, y``."""
+    """The two-population table ``twoway`` (``a, b, ratio, delta, lrt, p``) of features ``label, bit`` and a complete grid ``h, p, y``; ``inputs`` as in :func:`run_association`."""
+    inputs = inputs or "|".join(map(version_of, (hosts, pathogens, observations)))
     s = settings or TwoWaySettings()
     st = Stages(hosts.sparkSession, root, dry_run)
 
@@ -157,6 +183,6 @@ def run_two_populations(
             ok = df.filter(F.length("bit") == n)
             sides.append(twoway.components(structure.gram_matrix(ok, np.arange(n)), rank, ok.count()))
         grid = twoway.grid(observations, nh, np_, *sides, center_y=s.center_y)
-        return twoway.scan_twoway(hosts, pathogens, grid, s.interaction_only, s.drop_monomorphic)
+        return twoway.scan_twoway(hosts, pathogens, grid, s.interaction_only, s.drop_monomorphic, s.log10_p)
 
     return st.table("twoway", asdict(s) | {"inputs": inputs}, [], build), st.log

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import struct
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -77,15 +76,18 @@ def write_twoway(results: DataFrame, path: str) -> None:
     write_tsv(results, path, ["a", "b", "ratio", "delta", "lrt", "p"], sep=" ", digits=10)
 
 
-def write_basis(basis: np.ndarray, path: str) -> None:
-    """A covariate basis as little-endian int32 rows, int32 columns and doubles, column after column (as long as the sample axis)."""
+def write_basis(spark: SparkSession, basis: np.ndarray, path: str) -> None:
+    """A covariate basis as little-endian int32 rows, int32 columns and doubles, column after column (as long as the sample axis), into any file system Spark knows."""
     n, r = basis.shape
-    Path(path).write_bytes(struct.pack("<ii", n, r) + np.asfortranarray(basis, "<f8").tobytes("F"))
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(struct.pack("<ii", n, r) + np.asfortranarray(basis, "<f8").tobytes("F")))
+    out.close()
 
 
-def read_basis(path: str, n: int | None = None) -> np.ndarray:
+def read_basis(spark: SparkSession, path: str, n: int | None = None) -> np.ndarray:
     """A basis as written by :func:`write_basis`; a wrong number of rows or a short file raises."""
-    data = Path(path).read_bytes()
+    data = spark.read.format("binaryFile").load(path).first().content
     rows, columns = struct.unpack_from("<ii", data)
     if n is not None and rows != n or len(data) != 8 + 8 * rows * columns:
         raise ValueError("the basis doesn't fit the samples")

@@ -39,6 +39,45 @@ def test_reference_windows(spark, ref, monkeypatch):
     assert sorted(map(tuple, mapping.reference_keys(norm, K).collect())) == codes
 
 
+@pytest.mark.parametrize("k", [1, 30, 31, 32, 51, 62, 63, 64, 100])
+def test_codes_of_any_length(spark, k):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(k)
+    seq = "".join(rng.choice("ACGT") for _ in range(k + 60))
+    seq = seq[: k + 20] + "N" + seq[k + 21 :]
+    at, forward, back = mapping.window_codes(seq.encode(), k)
+    assert at.tolist() == [i for i in range(len(seq) - k + 1) if "N" not in seq[i : i + k]]
+    texts = [seq[i : i + k] for i in at.tolist()]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, kmer string")
+    rows = df.select("i", *mapping.codes_of(F.col("kmer"), k, "f"), *mapping.keys_of(F.col("kmer"), k)).orderBy("i").collect()
+    words = len(mapping.word_spans(k))
+    assert [list(r)[1 : 1 + words] for r in rows] == forward.T.tolist()
+    assert [list(r)[1 + words :] for r in rows] == mapping._smaller(forward, back).T.tolist()
+
+
+def test_reference_takes_the_latest_sequence(spark):
+    t = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(0, "a", "AC", "x", t[0]), (0, "b", "A c-", "x", t[1]), (0, "c", None, "x", t[2]), (1, "d", "g\n", "x", None), (2, "e", "T", "x", t[0]), (2, "e", "T", "x", t[0])]
+    got = sorted(map(tuple, mapping.reference(spark.createDataFrame(rows, CONTIGS)).collect()))
+    assert got == [(0, "b", 3, "ACN"), (1, "d", 1, "G"), (2, "e", 1, "T")]
+    assert mapping.written_reference(spark.createDataFrame(rows, CONTIGS).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("k", [40, 64])
+def test_mapping_of_long_kmers(spark, ref, k):
+    seqs, contigs = ref
+    norm = mapping.reference(contigs)
+    kmers = [seqs[0][i : i + k] for i in (0, 700, 2000)]
+    flipped = [kmers[0], kmers[1].translate(OTHER)[::-1], kmers[2], "A" * k, seqs[0][:k - 1]]
+    hits = spark.createDataFrame([(m, float(i), 0.1) for i, m in enumerate(flipped)], "kmer string, effect double, p double")
+    got = sorted((r.contig_idx, r.pos, r.effect) for r in mapping.map_hits(norm, mapping.build_index(hits, k), k).collect())
+    assert got == [(0, 0, 0.0), (0, 700, 1.0), (0, 2000, 2.0)]
+    assert sorted((r.contig_idx, r.pos, r.effect) for r in mapping.map_dual(norm, hits, k).collect()) == got
+    first = mapping.first_positions(norm, hits.selectExpr("cast(effect as int) as idx", "kmer"), k).collect()
+    assert {r.idx: r.pos for r in first} == {0: 0, 1: 700, 2: 2000}
+
+
 @pytest.mark.parametrize("small", [1, 300_000])
 def test_mapping_both_strands(spark, ref, monkeypatch, small):
     seqs, contigs = ref
@@ -54,7 +93,7 @@ def test_mapping_both_strands(spark, ref, monkeypatch, small):
     assert dual == [g[:2] for g in got]
     strict = mapping.map_hits(mapping.reference(contigs), index, K, max_p=5e-7).collect()
     assert {r.effect for r in strict} == {2.0}
-    first = mapping.first_positions(contigs, spark.createDataFrame([(5, k3), (6, "A" * K), (7, "bad")], "idx int, kmer string"), K).collect()
+    first = mapping.first_positions(mapping.reference(contigs), spark.createDataFrame([(5, k3), (6, "A" * K), (7, "bad")], "idx int, kmer string"), K).collect()
     starts = {0: 0, 1: 3000, 2: 3005, 3: 3012, 4: 3412}
     places = [starts[c] + i for c, i, k in windows(seqs) if canon(k) == canon(k3)]
     assert {r.idx: r.pos for r in first if r.idx != 6} == {5: min(places)}
@@ -121,3 +160,14 @@ def test_locate_and_labels(spark, ref):
     names = ["Chr1", "chrom_02", "CHROMOSOME-3x", "chrX", "scaffold_1", "", None]
     df = spark.createDataFrame([(n,) for n in names], "name string").select(report.chromosome_label(F.col("name")))
     assert [r[0] for r in df.collect()] == ["Chr1", "Chr2", "Chr3", "Other", "Other", "Other", "Other"]
+
+
+def test_regions_and_peaks(spark):
+    rows = [(100, 0, 1.0, 0.1), (149, 10, 2.0, 0.01), (150, 20, 3.0, 0.01), (199, 39, -1.0, 0.01), (200, 5, 1.0, 0.1), (150, 40, 1.0, 0.1), (99, 1, 1.0, 0.1)]
+    df = spark.createDataFrame(rows, "pos_a bigint, pos_b bigint, effect double, p double")
+    inside = report.region(df, (100, 200), (0, 40))
+    assert sorted(r.pos_a for r in inside.collect()) == [100, 149, 150, 199] and report.region(df).count() == 7
+    assert report.bin_width((100, 200), (0, 40), 2) == 50
+    peaks = {(r.cx, r.cy): (r.x, r.y, r.effect) for r in report.cell_peaks(inside, 50, origin=(100, 0)).collect()}
+    assert peaks == {(0, 0): (125, 25, 2.0), (1, 0): (175, 25, 3.0)}
+    assert report.marginal_sample(df.withColumnRenamed("pos_a", "pos"), 3).count() == 3

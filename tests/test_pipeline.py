@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import numpy as np
+import pytest
 
 from bitloom.operators import features, structure
 from bitloom.plans import pipeline
@@ -29,17 +30,17 @@ def test_association_end_to_end(spark, tmp_path):
     contigs = spark.createDataFrame([(0, "Chr1", "A" * 50, datetime(2024, 1, 1)), (1, "Chr2", seq, datetime(2024, 1, 1))], "contig_idx bigint, name string, seq string, loaded_at timestamp")
     s = pipeline.Settings(k=K, rank=2, log10_p=4, log10_p_2d_input=4, log10_p_2d=3, window=10, density=0.9)
     root = str(tmp_path / "results")
-    plan = pipeline.run_association(df, samples, phenotype, contigs, root, s, dry_run=True)[1]
+    plan = pipeline.run_association(df, samples, phenotype, contigs, root, s, "v1", True)[1]
     assert {what for _, what in plan} == {"would run"}
-    out, log = pipeline.run_association(df, samples, phenotype, contigs, root, s)
+    out, log = pipeline.run_association(df, samples, phenotype, contigs, root, s, "v1")
     assert {what for _, what in log} == {"ran"} and len(log) == 13
     assert {100, 107, 114} <= {r.row_id for r in out["hits"].collect()}
     assert set(range(150, 165)) <= {r.pos for r in out["mapped"].collect()}
     assert out["threshold"].first().tested == sum(r.tested for r in out["counts"].collect()) > 40
     assert out["pairs"].count() > 0 and out["mapped_pairs"].count() > 0
-    _, log = pipeline.run_association(df, samples, phenotype, contigs, root, s)
+    _, log = pipeline.run_association(df, samples, phenotype, contigs, root, s, "v1")
     assert {what for _, what in log} == {"kept"}
-    _, log = pipeline.run_association(df, samples, phenotype, contigs, root, pipeline.Settings(**{**s.__dict__, "window": 30}))
+    _, log = pipeline.run_association(df, samples, phenotype, contigs, root, pipeline.Settings(**{**s.__dict__, "window": 30}), "v1")
     assert {n for n, what in log if what == "ran"} == {"mapped", "points"}
 
 
@@ -48,9 +49,9 @@ def test_two_populations_end_to_end(spark, tmp_path):
     bits = lambda n, m, t: spark.createDataFrame([(f"{t}{i}", "".join(map(str, (rng.random(n) < 0.5).astype(int)))) for i in range(m)], "label string, bit string")
     obs = spark.createDataFrame([(h, p, float(rng.normal())) for h in range(8) for p in range(6)], "h int, p int, y double")
     args = bits(8, 10, "h"), bits(6, 7, "p"), obs, str(tmp_path / "r")
-    out, log = pipeline.run_two_populations(*args, pipeline.TwoWaySettings(2, 1))
+    out, log = pipeline.run_two_populations(*args, pipeline.TwoWaySettings(2, 1), "v1")
     assert out.count() == 70 and log == [("twoway", "ran")]
-    assert pipeline.run_two_populations(*args, pipeline.TwoWaySettings(2, 1))[1] == [("twoway", "kept")]
+    assert pipeline.run_two_populations(*args, pipeline.TwoWaySettings(2, 1), "v1")[1] == [("twoway", "kept")]
 
 
 def test_bases_come_from_all_features(spark, tmp_path):
@@ -67,7 +68,7 @@ def test_bases_come_from_all_features(spark, tmp_path):
     phenotype = spark.createDataFrame([(i, f"id{i}", float(v)) for i, v in enumerate(rng.normal(size=N))], "line_no int, sample_id string, y double")
     contigs = spark.createDataFrame([(0, "Chr1", "A" * 50, datetime(2024, 1, 1))], "contig_idx bigint, name string, seq string, loaded_at timestamp")
     s = pipeline.Settings(k=K, rank=2, reservoir=50, subsample=30)
-    out, _ = pipeline.run_association(df, samples, phenotype, contigs, str(tmp_path / "results"), s)
+    out, _ = pipeline.run_association(df, samples, phenotype, contigs, str(tmp_path / "results"), s, "v1")
     assert out["sample"].count() == 50
     x = np.array([[int(c) for c in r[3]] for r in rows[:-1]], float)
     x = x[np.minimum(x.mean(1), 1 - x.mean(1)) >= 0.05]
@@ -77,3 +78,21 @@ def test_bases_come_from_all_features(spark, tmp_path):
         want = structure.orthonormal(np.hstack(columns))
         got = pipeline._basis(features.design(samples, phenotype), out[name]).basis
         np.testing.assert_allclose(got @ got.T, want @ want.T, atol=1e-9)
+
+
+def test_other_inputs_are_not_answered_by_kept_tables(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    bits = lambda n, m, t: [(f"{t}{i}", "".join(map(str, (rng.random(n) < 0.5).astype(int)))) for i in range(m)]
+    obs = spark.createDataFrame([(h, p, float(rng.normal())) for h in range(6) for p in range(4)], "h int, p int, y double")
+    obs.write.parquet(str(tmp_path / "obs"))
+    for name, rows in (("h", bits(6, 5, "h")), ("p", bits(4, 3, "p"))):
+        spark.createDataFrame(rows, "label string, bit string").write.parquet(str(tmp_path / name))
+    read = lambda: [spark.read.parquet(str(tmp_path / n)) for n in ("h", "p", "obs")]
+    s = pipeline.TwoWaySettings(1, 1)
+    assert pipeline.run_two_populations(*read(), str(tmp_path / "r"), s)[1] == [("twoway", "ran")]
+    assert pipeline.run_two_populations(*read(), str(tmp_path / "r"), s)[1] == [("twoway", "kept")]
+    spark.createDataFrame(bits(6, 4, "more"), "label string, bit string").write.mode("append").parquet(str(tmp_path / "h"))
+    out, log = pipeline.run_two_populations(*read(), str(tmp_path / "r"), s)
+    assert log == [("twoway", "ran")] and out.count() == 27
+    with pytest.raises(ValueError, match="version"):
+        pipeline.run_two_populations(spark.createDataFrame(bits(6, 5, "h"), "label string, bit string"), *read()[1:], str(tmp_path / "r"), s)

@@ -35,3 +35,21 @@ def test_stages_are_written_to_the_shared_folder(spark):
     df = spark.range(5).withColumn("a", F.lit(None).cast("string"))
     assert runtime.shared_dir(spark) and runtime.written(df, "t").count() == 5
     assert runtime.checkpointed(df).count() == 5
+
+
+def test_written_tables_go_in_the_end(spark):
+    import os
+
+    df = runtime.written(spark.range(3), "gone")
+    path = df.inputFiles()[0].removeprefix("file:").removeprefix("//")
+    assert os.path.exists(path)
+    runtime.release()
+    assert not os.path.exists(path)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    bare = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        runtime.shared_dir(SimpleNamespace(sparkContext=bare))

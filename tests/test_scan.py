@@ -152,6 +152,62 @@ def test_pattern_classes_and_dictionary(spark, data):
     assert [r.idx for r in named] == list(range(len(named))) and [r.kmer for r in named] == sorted(r.kmer for r in named)
 
 
+@pytest.mark.parametrize("block", [4, 1000])
+def test_class_pairs_stand_for_all_pairs(spark, data, block):
+    rows, samples, phenotype, x, *_ = data
+    d = features.design(samples, phenotype)
+    once = features.unique_rows(rows, K, N).selectExpr("row_id as idx", "bit")
+    twice = once.unionByName(once.filter("idx % 3 = 0").selectExpr("idx + 1000 as idx", "bit"))
+    want = {(r.idx_a, r.idx_b): r.t for r in pairs2d.scan_pairs(twice, d, 1.0).collect()}
+    found, classes = pairs2d.scan_class_pairs(twice, d, 1.0, block)
+    told = {(r.rep_a, r.rep_b): r.t for r in found.collect()}
+    rep = {r.idx: r.rep for r in classes.collect()}
+    got = {(a, b): told[key] for a in rep for b in rep if a < b and (key := (min(rep[a], rep[b]), max(rep[a], rep[b]))) in told}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    both = {(r.idx_a, r.idx_b): r.both for r in pairs2d.co_occurrence(once, d, 3, block).collect()}
+    counts = (x @ x.T).astype(int)
+    assert both == {(a, b): counts[a, b] for a in range(60) for b in range(a + 1, 60) if counts[a, b] >= 3}
+
+
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_latest_rows_both_ways(spark, bound):
+    when = [datetime(2024, 1, 1 + i) for i in range(3)]
+    rows = [(1, "a", when[0]), (1, "b", when[2]), (1, "c", when[1]), (None, "d", when[0]), (None, "e", when[1]), (2, None, None), (3, "f", when[0]), (3, "f", when[0])]
+    df = spark.createDataFrame(rows, "id int, v string, at timestamp").withColumn("_c", features.F.lit(1))
+    got = features.latest_rows(df.filter("v <> 'b' or v is null"), ["id"], "at", ["v"], df, bound)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(["(1, 'c')", "(None, 'e')", "(2, None)", "(3, 'f')"])
+    assert features.latest_rows(df.limit(0), ["id"], "at", ["v"], max_repeated=bound).count() == 0
+
+
+def test_bit_strings_keep_rows_of_zeros(spark):
+    rng = np.random.default_rng(0)
+    for n in (1, 59, 60, 61, 130):
+        bits = {i: "".join(map(str, (rng.random(n) < 0.5).astype(int))) for i in range(20)} | {20: "0" * n, 21: "1" * n}
+        df = spark.createDataFrame(list(bits.items()), "row_id bigint, bit string")
+        back = {r.row_id: r.bit for r in features.bit_strings(features.presence(df), n, df).collect()}
+        assert back == bits
+        assert 20 not in {r.row_id for r in features.bit_strings(features.presence(df), n).collect()}
+
+
+@pytest.mark.parametrize("parts", [1, 16, 1 << 16])
+def test_quotas_of_a_hot_shard(spark, parts):
+    rows = [(i, "hot" if i % 3 else f"s{i % 4}" if i % 2 else None, "ACGTA", "01") for i in range(900)]
+    df = spark.createDataFrame(rows, "row_id bigint, shard string, kmer string, bit string")
+    drawn = df.withColumn("draw", features._draw(7, ["row_id", "kmer", "bit"])).collect()
+    want = set()
+    for shard in {r.shard for r in drawn}:
+        want |= {r.row_id for r in sorted((r for r in drawn if r.shard == shard), key=lambda r: (r.draw, r.row_id))[:250]}
+    assert {r.row_id for r in features.smallest_draws(df, "shard", 250, 7, parts=parts).collect()} == want
+    assert features.smallest_draws(df, None, 50, 7, parts=parts).count() == 50
+    assert features.smallest_draws(df.limit(0), "shard", 5).count() == 0
+
+
+def test_sorted_places(spark, data):
+    once = features.unique_rows(data[0], K, N)
+    got = features.sorted_places(once, 2).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(60)) and [(r.batch, r.bit, r.kmer, r.row_id) for r in got] == sorted((r.batch, r.bit, r.kmer, r.row_id) for r in got)
+
+
 def test_sample_statistics(spark, data):
     once = features.unique_rows(data[0], K, N)
     got = {r.shard: (r.seen, r.kept) for r in features.sample_statistics(once, 10).collect()}

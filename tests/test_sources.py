@@ -90,10 +90,10 @@ def test_columns_round_trip(spark, tmp_path):
 
 def test_sinks(spark, tmp_path):
     u = np.arange(6.0).reshape(3, 2)
-    sinks.write_basis(u, str(tmp_path / "U.bin"))
-    assert np.array_equal(sinks.read_basis(str(tmp_path / "U.bin"), 3), u)
+    sinks.write_basis(spark, u, str(tmp_path / "U.bin"))
+    assert np.array_equal(sinks.read_basis(spark, str(tmp_path / "U.bin"), 3), u)
     with pytest.raises(ValueError):
-        sinks.read_basis(str(tmp_path / "U.bin"), 4)
+        sinks.read_basis(spark, str(tmp_path / "U.bin"), 4)
     hits = spark.createDataFrame([("ACG", "01", 0.25, 1e-9)], "kmer string, bit string, effect double, p double")
     sinks.write_hits(hits, str(tmp_path / "h"))
     sinks.write_candidates(hits, str(tmp_path / "c"))

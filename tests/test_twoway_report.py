@@ -45,6 +45,19 @@ def test_twoway_against_least_squares(spark, rank, only):
     assert some.count() == sum(1 for a in x if 0 < a.sum() < nh) * sum(1 for b in z if 0 < b.sum() < npat)
 
 
+@pytest.mark.parametrize("only", [True, False])
+def test_twoway_limit_keeps_what_is_under_it(spark, only):
+    rng = np.random.default_rng(6)
+    bits = lambda n, m, t: spark.createDataFrame([(f"{t}{i}", "".join(map(str, (rng.random(n) < 0.5).astype(int)))) for i in range(m)] + [(f"{t}flat", "1" * n)], "label string, bit string")
+    hosts, paths = bits(8, 12, "h"), bits(6, 9, "p")
+    grid = twoway.Grid(rng.normal(size=(8, 6)), np.zeros((8, 0)), np.zeros((6, 0)))
+    every = twoway.scan_twoway(hosts, paths, grid, only).collect()
+    some = twoway.scan_twoway(hosts, paths, grid, only, log10_p=0.5).collect()
+    assert {(r.a, r.b) for r in some} == {(r.a, r.b) for r in every if r.p <= 10**-0.5} and 0 < len(some) < len(every)
+    rows = spark.createDataFrame([(1, "01"), (2, "11"), (3, "01")], "label int, bit string")
+    assert {r.label: r.rep for r in twoway.members(rows).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_incomplete_grid(spark):
     with pytest.raises(ValueError):
         twoway.grid(spark.createDataFrame([(0, 0, 1.0), (0, 1, 1.0), (1, 0, 1.0)], "h int, p int, y double"), 2, 2)
