@@ -35,13 +35,14 @@ def normalised(seq: Column) -> Column:
     return F.regexp_replace(F.translate(seq, "acgt \t\n\x0b\x0c\r", "ACGT"), "[^ACGT]", "N")
 
 
-def reference(contigs: DataFrame) -> DataFrame:
+def reference(contigs: DataFrame, over: int = -1) -> DataFrame:
     """``contig_idx, name, len, seq`` normalised, redelivered contigs once (the latest with a sequence); others with null keys or sequences are left out.
 
-    No sequence is shuffled for it but those of contigs delivered more than once.
+    No sequence is shuffled for it but those of contigs delivered more than once. Contigs of which the text as
+    delivered isn't longer than ``over`` are left out, before they are normalised (which makes no text longer).
     """
     given = contigs.filter("contig_idx is not null and seq is not null")
-    once = latest_rows(given, ["contig_idx"], "loaded_at", ["name", "seq"], contigs)
+    once = latest_rows(given, ["contig_idx"], "loaded_at", ["name", "seq"], contigs).filter(F.length("seq") > over)
     return once.select("contig_idx", "name", normalised(F.col("seq")).alias("seq")).select("contig_idx", "name", F.length("seq").cast("bigint").alias("len"), "seq")
 
 
