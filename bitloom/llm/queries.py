@@ -97,6 +97,23 @@ gaps as (
   where run[1] = 'N' and length(run) >= 10 and upto < n and upto > length(run))
 select * from gaps
 union all select contig_idx, -1, -1 from long where contig_idx not in (select contig_idx from gaps)
+""",
+    "p1_pieces": r"""
+with recursive norm as (
+  select contig_idx, loaded_at, regexp_replace(upper(regexp_replace(seq, '[ \t\n\v\f\r]', '', 'g')), '[^ACGT]', 'N', 'g') as s
+  from contigs where contig_idx is not null and seq is not null),
+last as (select contig_idx, s from norm qualify row_number() over (partition by contig_idx order by loaded_at desc) = 1),
+runs as (
+  select contig_idx, length(s) as n, unnest(regexp_extract_all(s, 'N+|[ACGT]+')) as run, generate_subscripts(regexp_extract_all(s, 'N+|[ACGT]+'), 1) as i from last where length(s) > 10000),
+placed as (select contig_idx, n, run, sum(length(run)) over (partition by contig_idx order by i) as upto from runs),
+ends as (
+  select contig_idx, list(upto::bigint) as ends from placed where run[1] = 'N' and length(run) >= 10 and upto < n and upto > length(run) group by 1),
+kept as (select contig_idx, length(s)::bigint as n, coalesce(ends, []) as ends from last left join ends using (contig_idx) where s <> ''),
+cut as (
+  select contig_idx, n, ends, 0::bigint as a, case when n <= 10000 then n else coalesce(list_max(list_filter(ends, lambda e: e > 30 and e <= 10000)), 10000::bigint) end as b from kept
+  union all
+  select contig_idx, n, ends, b - 30, case when n - b <= 9970 then n else coalesce(list_max(list_filter(ends, lambda e: e > b and e <= b + 9970)), b + 9970) end from cut where b < n)
+select contig_idx, a as start, b as "end", b = n or list_contains(ends, b) or s[b - 9:b] = 'NNNNNNNNNN' as in_gap, s[a + 1:b] as seq from cut join last using (contig_idx)
 """,
     "p3_found": f"select contig_idx, hit_id from ({_TOP})",
     "p3_top_hits": _TOP,

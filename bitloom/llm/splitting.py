@@ -3,77 +3,56 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from bitloom.operators.mapping import reference, written_reference
 from bitloom.plans.runtime import checkpointed
 
 LIMIT, OVERLAP, MIN_GAP = 10_000, 30, 10
 
-#: White space as a FASTA reader drops it, after the four letters it raises to upper case (fixed values).
-_FROM, _TO = "acgt \t\n\x0b\x0c\r", "ACGT"
+#: Cut points of one contig that share a window task span this many steps, and pieces that share a chunk of a sequence so many limits.
+_STEPS_PER_BLOCK, _LIMITS_PER_CHUNK = 64, 64
 
-_GAPS = T.ArrayType(T.StructType([T.StructField("gap_start", T.LongType()), T.StructField("gap_end", T.LongType())]))
 
-#: Cut points of one contig that share a window task span this many steps.
-_STEPS_PER_BLOCK = 64
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``contig_idx, len, gap_start, gap_end`` lists out of the lengths of the stretches between gaps and of the gaps, by running sums over a batch."""
+    for batch in batches:
+        stretches, gaps = batch.column("stretches"), batch.column("gaps")
+        each = np.diff(gaps.offsets.to_numpy())
+        # a stretch, a gap, a stretch, ... a last stretch without a gap
+        first = np.concatenate([[0], np.cumsum(each)])
+        gap = gaps.flatten().to_numpy().astype(np.int64)
+        stretch = np.delete(stretches.flatten().to_numpy().astype(np.int64), first[1:] + np.arange(len(each)))
+        upto = np.cumsum(stretch + gap)
+        end = upto - np.repeat(np.concatenate([[0], upto])[first[:-1]], each)
+        lists = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(v)) for v in (end - gap, end)]
+        yield pa.RecordBatch.from_arrays([batch.column("contig_idx"), batch.column("len"), *lists], ["contig_idx", "len", "starts", "ends"])
 
 
-def normalised(seq: Column) -> Column:
-    """``seq`` without white space, in upper case, every sign but A, C, G, T as N."""
-    return F.regexp_replace(F.translate(seq, _FROM, _TO), "[^ACGT]", "N")
+def gaps_of(ref: DataFrame, limit: int = LIMIT, min_gap: int = MIN_GAP) -> DataFrame:
+    """``contig_idx, len, gaps``: the inner runs of N of at least ``min_gap`` bases of each contig (``contig_idx, len, seq``) longer than ``limit``.
 
-
-@F.pandas_udf(_GAPS)
-def _gap_places(seqs: pd.Series, gaps: pd.Series) -> pd.Series:
-    """Start and end of each gap, out of the lengths of the stretches and gaps between them."""
-
-    def places(s, g):
-        found, at = [], 0
-        for stretch, gap in zip(s, g):
-            at += int(stretch)
-            found.append({"gap_start": at, "gap_end": at + int(gap)})
-            at += int(gap)
-        return found
-
-    return pd.Series([places(s, g) for s, g in zip(seqs, gaps)])
-
-
-def _latest(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Of each ``contig_idx`` the ``value`` of its last delivered row; equal times by the hash of the sequence."""
-    return df.groupBy("contig_idx").agg(F.max_by(value, F.struct("loaded_at", "h")).alias(name))
-
-
-def _present(contigs: DataFrame) -> DataFrame:
-    norm = contigs.filter("contig_idx is not null and seq is not null").select("contig_idx", "loaded_at", normalised(F.col("seq")).alias("norm"))
-    return norm.withColumn("h", F.xxhash64("norm"))
-
-
-def gaps_of(contigs: DataFrame, limit: int = LIMIT, min_gap: int = MIN_GAP) -> DataFrame:
-    """``contig_idx, len, gaps``: the inner runs of N of at least ``min_gap`` bases of each contig longer than ``limit``.
-
-    Only lengths of stretches leave the scan, so redelivered contigs are told
-    apart without shuffling a sequence.
+    Only lengths of stretches leave the scan.
     """
-    # no sequence gets longer by normalisation, so short raw text never needs it
-    long = _present(contigs.filter(F.length("seq") > limit))
     run = f"N{{{min_gap},}}"
-    lengths = long.select(
-        "contig_idx", "loaded_at", "h", F.length("norm").cast("bigint").alias("len"),
-        F.transform(F.split("norm", run, -1), F.length).alias("stretches"),
-        F.transform(F.regexp_extract_all("norm", F.lit(run), F.lit(0)), F.length).alias("runs"),
+    lengths = ref.filter(F.col("len") > limit).select(
+        "contig_idx", "len",
+        F.transform(F.split("seq", run, -1), F.length).alias("stretches"),
+        F.transform(F.regexp_extract_all("seq", F.lit(run), F.lit(0)), F.length).alias("gaps"),
     )
-    last = _latest(lengths, F.struct("len", "stretches", "runs"), "v").select("contig_idx", "v.*").filter(F.col("len") > limit)
-    placed = last.select("contig_idx", "len", _gap_places("stretches", "runs").alias("gaps"))
-    inner = F.filter("gaps", lambda g: (g["gap_start"] > 0) & (g["gap_end"] < F.col("len")))
+    placed = lengths.mapInArrow(_placed, "contig_idx bigint, len bigint, starts array<bigint>, ends array<bigint>")
+    gap = F.arrays_zip(F.col("starts").alias("gap_start"), F.col("ends").alias("gap_end")).cast("array<struct<gap_start:bigint,gap_end:bigint>>")
+    inner = F.filter(gap, lambda g: (g["gap_start"] > 0) & (g["gap_end"] < F.col("len")))
     return placed.select("contig_idx", "len", inner.alias("gaps"))
 
 
-def cut_points(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_gap: int = MIN_GAP) -> DataFrame:
+def cut_points(ref: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_gap: int = MIN_GAP) -> DataFrame:
     """The nodes a cut may fall on: ``contig_idx, len, pos, kind, gap_start, gap_end``.
 
     A cut at ``pos`` ends a piece there and starts the next one ``overlap``
@@ -86,7 +65,7 @@ def cut_points(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, m
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
     step = limit - overlap
-    g = gaps_of(contigs, limit, min_gap)
+    g = gaps_of(ref, limit, min_gap)
     near = F.filter("gaps", lambda x: x["gap_end"] <= overlap)
     cuts = F.filter("gaps", lambda x: x["gap_end"] > overlap)
 
@@ -126,8 +105,8 @@ def successors(points: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) ->
     return reach.unionByName(points.filter("kind = 'near'").withColumn("nxt", F.lit(None).cast("bigint")))
 
 
-def greedy_cuts(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_gap: int = MIN_GAP) -> DataFrame:
-    """All cut points with ``nxt`` and ``on_path``: whether the greedy division of the contig uses them.
+def greedy_cuts(ref: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_gap: int = MIN_GAP) -> DataFrame:
+    """All cut points of a reference (``contig_idx, len, seq``) with ``nxt`` and ``on_path``: whether the greedy division of the contig uses them.
 
     Pointer doubling: in round k each point holds its successor after 2^k pieces
     (the table joined with itself), and points on the path mark theirs. Two pieces always
@@ -135,7 +114,7 @@ def greedy_cuts(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP,
     the longest contig. Each round is checkpointed in the shared folder.
     """
     step = limit - overlap
-    points = checkpointed(successors(cut_points(contigs, limit, overlap, min_gap), limit, overlap))
+    points = checkpointed(successors(cut_points(ref, limit, overlap, min_gap), limit, overlap))
     longest = points.agg(F.max("len")).first()[0]
     if longest is None:
         return points.withColumn("on_path", F.lit(False))
@@ -154,10 +133,15 @@ def greedy_cuts(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP,
     return live.unionByName(points.filter("kind = 'near'").withColumn("on_path", F.lit(False))).withColumn("on_path", F.coalesce("on_path", F.lit(False)))
 
 
+def divisions(nodes: DataFrame, overlap: int = OVERLAP) -> DataFrame:
+    """``contig_idx, len, cut, start, end``: the pieces of the doubled path; ``cut`` is where the piece before ends."""
+    return nodes.filter("on_path and kind <> 'end'").select("contig_idx", "len", F.col("pos").alias("cut"), (F.col("pos") - overlap).alias("start"), F.col("nxt").alias("end"))
+
+
 def split_oversized(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_gap: int = MIN_GAP) -> DataFrame:
     """Contigs in pieces of at most ``limit`` bases: ``contig_idx, start, end, in_gap, seq``.
 
-    Needs ``contig_idx, seq, loaded_at``; other columns are ignored. ``seq`` is
+    Needs ``contig_idx, name, seq, loaded_at``; other columns are ignored. ``seq`` is
     normalised (no white space, upper case, other signs as N); of redelivered
     contigs the latest row with a sequence counts, so rows with a null ``contig_idx`` or
     ``seq`` give nothing, and a sequence without a base gives nothing either. The
@@ -165,27 +149,43 @@ def split_oversized(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERL
     the piece before, and each ends in the last assembly gap (a run of N of at least ``min_gap``)
     it can reach, or at the limit if it reaches none.
     ``in_gap`` tells whether its end is inside a gap or the contig's own end.
-    Contigs up to the limit come out whole.
+    Contigs up to the limit come out whole, and are not shuffled. Longer ones are dealt out
+    in chunks, out of which their pieces are cut, so that the longest contig is many tasks.
     """
-    nodes = greedy_cuts(contigs, limit, overlap, min_gap)
-    gap_ends = nodes.filter("kind in ('gap', 'end')").select("contig_idx", F.col("pos").alias("nxt"), F.lit(True).alias("natural"))
-    path = nodes.filter("on_path and kind <> 'end'").select("contig_idx", "pos", "nxt").join(gap_ends, ["contig_idx", "nxt"], "left")
-    piece = F.struct((F.col("pos") - overlap).alias("start"), F.col("nxt").alias("end"), F.coalesce("natural", F.lit(False)).alias("natural"))
-    # as many entries as the sequence has pieces, beside a sequence that is one row anyway
-    cuts = path.groupBy("contig_idx").agg(F.collect_list(piece).alias("pieces"))
-    # bytes, so that a piece is found without walking the characters before it
-    seqs = _latest(_present(contigs), F.encode("norm", "US-ASCII"), "bases").filter(F.length("bases") > 0)
-    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.length("bases").cast("bigint").alias("end"), F.lit(True).alias("natural")))
-    each = seqs.join(cuts, "contig_idx", "left").select("contig_idx", "bases", F.explode(F.coalesce("pieces", whole)).alias("p"))
-    bases = F.substring("bases", F.col("p.start").cast("int") + 1, (F.col("p.end") - F.col("p.start")).cast("int"))
-    out = each.select("contig_idx", F.col("p.start").alias("start"), F.col("p.end").alias("end"), F.col("p.natural").alias("natural"), F.decode(bases, "US-ASCII").alias("seq"))
-    return out.select("contig_idx", "start", "end", (F.col("natural") | F.substring("seq", -min_gap, min_gap).eqNullSafe("N" * min_gap)).alias("in_gap"), "seq")
+    ref = written_reference(contigs)
+    nodes = greedy_cuts(ref, limit, overlap, min_gap)
+    wide = _LIMITS_PER_CHUNK * limit
+    natural = nodes.filter("kind in ('gap', 'end')").select("contig_idx", F.col("pos").alias("end"), F.lit(True).alias("natural"))
+    path = divisions(nodes, overlap).join(natural, ["contig_idx", "end"], "left")
+    piece = F.struct("start", "end", F.coalesce("natural", F.lit(False)).alias("natural"))
+    # a chunk has a bounded number of pieces
+    cuts = path.groupBy("contig_idx", F.floor(F.col("start") / wide).alias("chunk")).agg(F.collect_list(piece).alias("pieces"))
+    # bytes, so that a piece is found without walking the characters before it; a chunk is longer by a piece
+    long = ref.filter(F.col("len") > limit).select("contig_idx", F.encode("seq", "US-ASCII").alias("b"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("len") - 1) / wide))).alias("chunk"))
+    dealt = long.select("contig_idx", "chunk", F.substring("b", (F.col("chunk") * wide + 1).cast("int"), F.lit(wide + limit)).alias("bases")).repartition("contig_idx", "chunk")
+    each = dealt.join(cuts, ["contig_idx", "chunk"]).select("contig_idx", "chunk", "bases", F.explode("pieces").alias("p"))
+    bases = F.substring("bases", (F.col("p.start") - F.col("chunk") * wide + 1).cast("int"), (F.col("p.end") - F.col("p.start")).cast("int"))
+    cut = each.select("contig_idx", F.col("p.start").alias("start"), F.col("p.end").alias("end"), F.col("p.natural").alias("natural"), F.decode(bases, "US-ASCII").alias("seq"))
+    whole = ref.filter((F.col("len") > 0) & (F.col("len") <= limit)).select("contig_idx", F.lit(0).cast("bigint").alias("start"), F.col("len").alias("end"), F.lit(True).alias("natural"), "seq")
+    in_gap = F.col("natural") | F.substring("seq", -min_gap, min_gap).eqNullSafe("N" * min_gap)
+    return cut.unionByName(whole).select("contig_idx", "start", "end", in_gap.alias("in_gap"), "seq")
 
 
 def gap_cases(contigs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_gap: int = MIN_GAP) -> DataFrame:
-    """``contig_idx, gap_start, gap_end``: the natural boundaries of every oversized contig; -1, -1 for one without any."""
-    nodes = greedy_cuts(contigs, limit, overlap, min_gap)
-    spots = nodes.groupBy("contig_idx", F.coalesce("gap_start", F.lit(-1)).alias("gap_start"), F.coalesce("gap_end", F.lit(-1)).alias("gap_end")).agg(F.max("on_path").alias("used"))
-    gaps = spots.filter("gap_start >= 0")
-    bare = spots.filter("gap_start < 0").join(gaps.select("contig_idx").distinct(), "contig_idx", "left_anti")
-    return gaps.unionByName(bare).filter("used is not null").select("contig_idx", "gap_start", "gap_end")
+    """``contig_idx, gap_start, gap_end``: the natural boundaries of every oversized contig, told by the pieces they end in; -1, -1 for one without any.
+
+    A gap is a row if a piece of the doubled path holds its end: pieces follow one another
+    without overlap if each is taken from the end of the one before, so every gap lies in one
+    of them. A contig without gaps is a row if its pieces reach its end. So a path that misses
+    a part of a contig loses rows here as it loses bases in :func:`split_oversized`.
+    Pieces and gaps meet by contig and stretches of ``limit`` bases, of which a piece touches two.
+    """
+    nodes = greedy_cuts(reference(contigs, limit), limit, overlap, min_gap)
+    pieces = divisions(nodes, overlap).withColumn("cut", F.when(F.col("start") == 0, F.lit(0)).otherwise(F.col("cut")))
+    touched = F.explode(F.sequence(F.floor(F.col("cut") / limit), F.floor(F.col("end") / limit)))
+    listed = pieces.select("contig_idx", touched.alias("block"), "cut", "end")
+    gaps = nodes.filter("gap_start is not null").select("contig_idx", "gap_start", "gap_end").withColumn("block", F.floor(F.col("gap_end") / limit))
+    held = gaps.join(listed, ["contig_idx", "block"]).filter("cut < gap_end and gap_end <= end").select("contig_idx", "gap_start", "gap_end")
+    bare = pieces.filter(F.col("end") == F.col("len")).select("contig_idx").join(gaps.select("contig_idx").distinct(), "contig_idx", "left_anti")
+    none = F.lit(-1).cast("bigint")
+    return held.unionByName(bare.select("contig_idx", none.alias("gap_start"), none.alias("gap_end")))

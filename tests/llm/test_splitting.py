@@ -3,8 +3,10 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from bitloom.llm import splitting
+from bitloom.operators import mapping
 
 CONTIGS = "contig_idx bigint, name string, seq string, assembly string, loaded_at timestamp, pos string"
 
@@ -78,4 +80,26 @@ def test_empty_and_wrong_parameters(spark):
     assert splitting.split_oversized(df.limit(0)).count() == 0 and splitting.gap_cases(df.limit(0)).count() == 0
     assert splitting.gap_cases(df).count() == 0
     with pytest.raises(ValueError):
-        splitting.cut_points(df, 10, 10)
+        splitting.cut_points(mapping.reference(df), 10, 10)
+
+
+@pytest.mark.parametrize("broken", ["some off the path", "leads too far back", "never ends"])
+def test_cases_come_from_the_doubled_path(spark, monkeypatch, broken):
+    rng = random.Random(3)
+    seqs = {i: dna(rng, 3000, 0.3, 5) for i in range(6)} | {6: "A" * 3000}
+    df = table(spark, [(i, s, T0) for i, s in seqs.items()])
+    wanted = {(i, *g) for i, s in seqs.items() for g in gaps(s, 5) or [(-1, -1)]}
+    right = splitting.greedy_cuts
+
+    def wrong(*args):
+        nodes = right(*args)
+        if broken == "some off the path":
+            return nodes.withColumn("on_path", F.col("on_path") & (F.col("pos") % 3 > 0))
+        if broken == "leads too far back":
+            return nodes.withColumn("nxt", F.col("nxt") - 40)
+        return nodes.withColumn("on_path", F.col("on_path") & (F.col("nxt") < F.col("len")))
+
+    cases = lambda: {tuple(r) for r in splitting.gap_cases(df, 100, 10, 5).collect()}
+    assert cases() == wanted
+    monkeypatch.setattr(splitting, "greedy_cuts", wrong)
+    assert cases() < wanted
