@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from bitloom.operators.features import latest_rows
 from bitloom.plans.runtime import at_most, checkpointed, written
 
 PERCENTS = [1, 5, 25, 50, 75, 95, 99]
@@ -22,12 +23,11 @@ _SPAN_ROWS = 500_000
 
 
 def latest_pairs(pairs: DataFrame, keep: list[str]) -> DataFrame:
-    """Each pair (``trait, idx_a, idx_b``) once, with the columns ``keep`` of its latest row.
+    """Each pair (``trait, idx_a, idx_b``) once, with the columns ``keep`` of its latest row; rows of pairs delivered once are not shuffled.
 
     Null keys are keys like any other. Of rows of equal time the larger values stand.
     """
-    last = F.max(F.struct("written_at", *keep))
-    return pairs.groupBy("trait", "idx_a", "idx_b").agg(last.alias("s")).select("trait", "idx_a", *(f"s.{c}" for c in keep))
+    return latest_rows(pairs, ["trait", "idx_a", "idx_b"], "written_at", keep).select("trait", "idx_a", *keep)
 
 
 def finite_values(pairs: DataFrame, groups: list[str]) -> DataFrame:
@@ -122,7 +122,7 @@ def day_summaries(pairs: DataFrame, points: int = 400) -> DataFrame:
 
 
 def span_percentiles(summaries: DataFrame, first_day: str | None = None, last_day: str | None = None, percents: list[float] = PERCENTS) -> DataFrame:
-    """``trait, measure, n, pct, value`` of any span of days (both ends included), out of :func:`day_summaries`."""
+    """``trait, measure, n, pct, value`` of any span of days (both ends included), out of :func:`day_summaries`; exact where all its groups were kept exactly."""
     span = summaries
     if first_day is not None:
         span = span.filter(F.col("run_day") >= F.lit(first_day).cast("date"))
@@ -132,5 +132,30 @@ def span_percentiles(summaries: DataFrame, first_day: str | None = None, last_da
     w = W.partitionBy("trait", "measure").orderBy("value")
     run = merged.withColumn("upto", F.sum("weight").over(w)).withColumn("n", F.sum("weight").over(W.partitionBy("trait", "measure")))
     pcts = run.withColumn("pct", F.explode(F.array(*map(F.lit, [float(p) for p in percents]))))
-    hit = pcts.filter(F.col("upto") > F.col("pct") / 100 * (F.col("n") - 1))
-    return hit.groupBy("trait", "measure", "n", "pct").agg(F.min("value").alias("value"))
+    at = F.col("pct") / 100 * (F.col("n") - 1)
+    of_rank = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("value")))
+    ends = pcts.groupBy("trait", "measure", "n", "pct").agg(of_rank(F.floor(at)).alias("low"), of_rank(F.ceil(at)).alias("high"))
+    return ends.select("trait", "measure", "n", "pct", (F.col("low") + (F.col("high") - F.col("low")) * (at - F.floor(at))).alias("value"))
+
+
+def rank_errors(found: DataFrame, pairs: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """``trait, measure, n, pct, error`` of percentiles (``trait, measure, pct, value``) of a span of days: how far, as a share of all ``n`` values, the rank of each value is from the one asked for.
+
+    Values are counted below and up to each percentile, in one pass over all of them; there are a few percentiles for each trait.
+    """
+    values = finite_values(pairs, ["trait", "run_day"])
+    if first_day is not None:
+        values = values.filter(F.col("run_day") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        values = values.filter(F.col("run_day") <= F.lit(last_day).cast("date"))
+    asked = checkpointed(found.groupBy("trait", "measure").agg(F.array_sort(F.collect_list(F.struct("pct", F.col("value").alias("at")))).alias("asked")))
+    if at_most(asked, _SPAN_ROWS):
+        asked = F.broadcast(asked)
+    asked = asked.withColumnsRenamed({"trait": "of_trait", "measure": "of_measure"})
+    met = values.join(asked, F.col("trait").eqNullSafe(F.col("of_trait")) & (_measure(F.col("measure")) == F.col("of_measure")))
+    each = met.select("trait", F.col("of_measure").alias("measure"), "value", F.explode("asked").alias("q")).select("trait", "measure", "value", "q.*")
+    counts = each.groupBy("trait", "measure", "pct").agg(F.count("*").alias("n"), F.count_if(F.col("value") < F.col("at")).alias("below"), F.count_if(F.col("value") <= F.col("at")).alias("upto"))
+    # a value between two neighbours has any rank between theirs
+    wanted, between = F.col("pct") / 100 * (F.col("n") - 1), (F.col("below") == F.col("upto")).cast("int")
+    error = F.greatest(F.col("below") - between - wanted, wanted - (F.col("upto") - 1 + between), F.lit(0.0)) / F.col("n")
+    return counts.select("trait", "measure", "n", "pct", error.alias("error"))

@@ -17,7 +17,17 @@ def p1_pieces(spark, d):
 
 
 def p2_sample(spark, d):
-    return sampling.uniform_sample(table(spark, d, "kmer_rows"), 500, columns=["kmer", "bit"])
+    rows = table(spark, d, "kmer_rows")
+    return sampling.uniform_sample(rows, 500, columns=["kmer", "bit"], row=sampling.delivered_row(rows))
+
+
+def p2_properties(spark, d):
+    """What holds of every sample: how many rows it has, and how many of them (and of its keys) are none of the table's or there twice."""
+    rows = table(spark, d, "kmer_rows")
+    got = checkpointed(sampling.keyed_sample(rows, 500, columns=["row_id", "shard", "kmer", "bit", "loaded_at"], row=sampling.delivered_row(rows)))  # 500 rows
+    content = F.xxhash64("row_id", "shard", "kmer", "bit", "loaded_at").alias("c")
+    strange = got.select(content).join(rows.join(F.broadcast(got.select(F.col("row_id").alias("drawn")).distinct()), F.col("row_id").eqNullSafe(F.col("drawn")), "left_semi").select(content), "c", "left_anti")
+    return got.agg(F.count("*").alias("n"), (F.count("*") - F.countDistinct(sampling.KEY)).alias("twice")).crossJoin(F.broadcast(strange.agg(F.count("*").alias("strange"))))  # one row each
 
 
 def p3_found(spark, d):
@@ -36,12 +46,23 @@ def p5_day_summaries(spark, d):
     return percentiles.day_summaries(table(spark, d, "pairs"))
 
 
-def p5_span(spark, d):
-    """The percentiles of all but the first and last ten days' worth of summaries (of fewer days the middle), out of what was kept per day."""
+def _span(spark, d):
     kept = checkpointed(percentiles.day_summaries(table(spark, d, "pairs")))  # read for its ends, then for the span
     margin = "cast(least(10, floor(datediff(max(run_day), min(run_day)) / 2)) as int)"
-    low, high = kept.agg(F.expr(f"cast(date_add(min(run_day), {margin}) as string)"), F.expr(f"cast(date_sub(max(run_day), {margin}) as string)")).first()  # one row
-    return percentiles.span_percentiles(kept, low, high)
+    ends = kept.agg(F.expr(f"cast(date_add(min(run_day), {margin}) as string)"), F.expr(f"cast(date_sub(max(run_day), {margin}) as string)")).first()  # one row
+    return percentiles.span_percentiles(kept, *ends), ends
+
+
+def p5_span(spark, d):
+    """The percentiles of all but the first and last ten days' worth of summaries (of fewer days the middle), out of what was kept per day."""
+    return _span(spark, d)[0]
+
+
+def p5_span_bound(spark, d):
+    """``trait, measure, n, pct, within``: whether each percentile of the span has a rank within 0.5 % of the one asked for, by all values."""
+    found, ends = _span(spark, d)
+    errors = percentiles.rank_errors(found, table(spark, d, "pairs"), *ends)
+    return errors.select("trait", "measure", "n", "pct", (F.col("error") <= 0.005).alias("within"))
 
 
 def p6_ids(spark, d):
@@ -70,7 +91,7 @@ def p8_repaired(spark, d):
 
 
 def queries():
-    named = [p1_found, p1_pieces, p2_sample, p3_found, p3_top_hits, p5_percentiles, p5_day_summaries, p5_span, p6_ids, p6_decoded, p7_containers, p7_fill, p8_found, p8_repaired]
+    named = [p1_found, p1_pieces, p2_sample, p2_properties, p3_found, p3_top_hits, p5_percentiles, p5_day_summaries, p5_span, p5_span_bound, p6_ids, p6_decoded, p7_containers, p7_fill, p8_found, p8_repaired]
     return {f.__name__: f for f in named}
 
 
@@ -115,6 +136,7 @@ cut as (
   select contig_idx, n, ends, b - 30, case when n - b <= 9970 then n else coalesce(list_max(list_filter(ends, lambda e: e > b and e <= b + 9970)), b + 9970) end from cut where b < n)
 select contig_idx, a as start, b as "end", b = n or list_contains(ends, b) or s[b - 9:b] = 'NNNNNNNNNN' as in_gap, s[a + 1:b] as seq from cut join last using (contig_idx)
 """,
+    "p2_properties": "select least(count(*), 500) as n, 0::bigint as twice, 0::bigint as strange from kmer_rows",
     "p3_found": f"select contig_idx, hit_id from ({_TOP})",
     "p3_top_hits": _TOP,
     "p5_percentiles": """
@@ -129,6 +151,14 @@ near as (
   select trait, measure, n, pct, pct / 100 * (n - 1) as at_, min(value) as low, max(value) as high
   from ranked, pcts where r = floor(pct / 100 * (n - 1)) or r = ceil(pct / 100 * (n - 1)) group by all)
 select trait, measure, n, pct, low + (high - low) * (at_ - floor(at_)) as value from near
+""",
+    "p5_span_bound": """
+with last as (select * from pairs qualify row_number() over (partition by trait, idx_a, idx_b order by written_at desc) = 1),
+vals as (select trait, run_day, 'effect' as measure, effect as value from last union all select trait, run_day, 'pval', pval from last),
+ok as (select * from vals where value is not null and isfinite(value)),
+ends as (select min(run_day) as a, max(run_day) as b, least(10, (max(run_day) - min(run_day)) // 2)::int as m from ok)
+select trait, measure, count(*) as n, pct, true as within
+from ok, ends, (select unnest([1, 5, 25, 50, 75, 95, 99])::double as pct) where run_day between a + m and b - m group by trait, measure, pct
 """,
     "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
