@@ -82,6 +82,13 @@ def p7_fill(spark, d):
     return packing.container_fill(packing.fill_with_documents(table(spark, d, "documents")))
 
 
+def p7_faults(spark, d):
+    """What could be wrong with the containers: nothing is, and less than 1 % more of them are used than must be."""
+    sized = checkpointed(tokenizer.count_tokens(table(spark, d, "documents")))
+    out = packing.fill_faults(packing.fill_containers(sized), sized)
+    return out.withColumn("spare", (F.col("spare") >= 0.01).cast("int"))
+
+
 def p8_found(spark, d):
     return mojibake.mended_documents(table(spark, d, "documents")).select("doc_id")
 
@@ -91,7 +98,7 @@ def p8_repaired(spark, d):
 
 
 def queries():
-    named = [p1_found, p1_pieces, p2_sample, p2_properties, p3_found, p3_top_hits, p5_percentiles, p5_day_summaries, p5_span, p5_span_bound, p6_ids, p6_decoded, p7_containers, p7_fill, p8_found, p8_repaired]
+    named = [p1_found, p1_pieces, p2_sample, p2_properties, p3_found, p3_top_hits, p5_percentiles, p5_day_summaries, p5_span, p5_span_bound, p6_ids, p6_decoded, p7_containers, p7_fill, p7_faults, p8_found, p8_repaired]
     return {f.__name__: f for f in named}
 
 
@@ -160,6 +167,7 @@ ends as (select min(run_day) as a, max(run_day) as b, least(10, (max(run_day) -
 select trait, measure, count(*) as n, pct, true as within
 from ok, ends, (select unnest([1, 5, 25, 50, 75, 95, 99])::double as pct) where run_day between a + m and b - m group by trait, measure, pct
 """,
+    "p7_faults": "select count(*) as items, 0::bigint as overfull, 0::bigint as missing, 0::bigint as twice, 0::bigint as split, 0::bigint as wrong_size, 0::int as spare from documents",
     "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
 

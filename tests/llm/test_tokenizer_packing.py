@@ -1,3 +1,4 @@
+import itertools
 import random
 from pathlib import Path
 
@@ -115,11 +116,42 @@ def test_plan_uses_each_item_once_and_wastes_little(seed):
         assert sum(k * n for k, n in need.items()) <= 64
         for k, n in need.items():
             used[k] += n * times
-    assert np.array_equal(used, counts) and len(plan) <= 65
+    assert np.array_equal(used, counts) and len(plan) <= sum(1 + np.log2(c) for c in counts if c)
+    slots = packing.slots_of(plan)
+    assert (slots[:, 3] > 0).all() and slots.tolist() == sorted(slots.tolist())
     total = int((np.arange(65) * counts).sum())
     assert sum(t for _, t in plan) <= 1.02 * max(-(-total // 64), int(counts[33:].sum())) + 2
 
 
+def test_plentiful_lengths_and_the_index_of_sums():
+    counts = np.r_[0, np.full(256, 10**9)]
+    assert sum(t for _, t in packing.container_plan(counts, 256)) == -(-int((np.arange(257) * counts).sum()) // 256)
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        left = np.zeros(61, np.int64)
+        left[1:] = rng.integers(0, 3, 60) * (rng.random(60) < 0.3)
+        index = packing._Lengths(left)
+        there = [n for n in range(61) for _ in range(left[n])]
+        sums = [set(map(sum, itertools.combinations(there, k))) for k in range(4)]
+        for total in range(1, 61):
+            for parts in (1, 2, 3):
+                found = index._parts(total, parts)
+                assert (found is not None) == (total in sums[parts])
+                assert found is None or sum(found) == total and all(left[n] >= found.count(n) for n in found)
+
+
+def test_faults_are_told(spark):
+    sized = spark.createDataFrame([(1, 60), (2, 50), (3, 200), (4, 10)], "doc_id bigint, n_tokens bigint")
+    right = packing.fill_containers(sized, 100)
+    assert packing.fill_faults(right, sized, 100).drop("items", "spare").first()[:] == (0, 0, 0, 0, 0)
+    rows = [(1, 0, 0, 30, 0), (1, 1, 30, 30, 1), (2, 0, 0, 50, 0), (2, 0, 0, 50, 0), (3, 0, 0, 100, 2), (3, 1, 100, 100, 3)]
+    wrong = spark.createDataFrame(rows, "doc_id bigint, piece bigint, start bigint, n_tokens bigint, container bigint")
+    got = packing.fill_faults(wrong, sized, 100).first()
+    assert (got.items, got.missing, got.twice, got.split, got.wrong_size, got.overfull) == (4, 1, 1, 2, 1, 1)
+    with pytest.raises(ValueError):
+        packing.fill_containers(sized, 1 << 15)
+
+
 def test_fill_documents(spark):
     docs = spark.createDataFrame([(i, "word " * n) for i, n in enumerate([3, 5000, 0, 900])], "doc_id bigint, text string")
     filled = packing.fill_with_documents(docs)
