@@ -14,14 +14,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.plans.runtime import checkpointed
-
 #: Encodings a text may have been read in by mistake, the likeliest first (fixed values).
-READ_AS = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "cp1253", "cp1254", "cp1257", "iso8859_2", "cp866", "cp852", "gbk", "cp932", "cp949", "big5"]
+READ_AS = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "cp1253", "cp1254", "cp1257", "iso8859_2", "iso8859_15", "cp866", "cp852", "gbk", "cp932", "cp949", "big5"]
 
 #: Encodings it may have been written in, in (fixed values).
 WRITTEN_AS = ["utf-8", "cp1252", "cp850", "cp437", "mac_roman", "cp1250", "cp1254", "cp1251", "koi8_r", "cp866", "cp852", "cp1253", "cp1257", "iso8859_2", "gb18030", "cp932", "euc_jp", "cp949", "big5", "koi8_u"]
 
+#: An encoding that differs from the first one in few signs only, and these signs, which may come from either (fixed values).
+_NEAR, _NEAR_SIGNS = "iso8859_15", "€ŠšŽžŒœŸ"
+
 #: Size of the table of letter pairs, and groups of repositories that are counted apart; 4 bytes for each of both, whatever the corpus.
 PAIRS, GROUPS = 1 << 20, 16
 
@@ -29,23 +30,25 @@ _HAN, _DRAWING = 5, 7
 _REMEMBERED, _SHORT = 200_000, 40  # words a worker remembers, and how long one may be
 
 _HOPELESS = 8  # impossible signs in a line by which it counts as garbled even without a repair
-_LAYERS = 4  # times a text may have been read wrongly
+_FOREIGN = 0.6  # share of the bits of a pair seen nowhere that pairs of a line must cost on average to be taken for read wrongly more than once
+_ENOUGH = 12  # letter pairs by which that can be told
+_ROUNDS = 3  # wrong readings between one-byte encodings that are undone (those of UTF-8 are as many as there are)
 _ODD = 10.0  # bits that an impossible sign costs
 _RARE = 5.5  # bits a letter pair may cost on average before other readings are tried
 _MIN_DROP = 7.0  # bits by which a reading must be cheaper, and the share it must save of what the changed pairs cost
-_MIN_SHARE = 0.3
+_MIN_SHARE, _LAYERED_SHARE = 0.3, 0.6
 
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _RUNS = re.compile(r"[^\x00-\x7f]{2}")
 _WORD = re.compile(r"[A-Za-z]*[^\x00-\x7f](?:[A-Za-z]|[^\x00-\x7f])*")
 _MULTIBYTE = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}")
-_LITERAL = re.compile(r"""(["'`])([^\x00-\x7f]{1,24})\1""")
+_LITERAL = re.compile(r"""(["'`])([^\x00-\x7f]+)\1""")
 _PLAIN = re.compile(r"[\t\n\r -~]")
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
 _PLAIN_RUN = re.compile(r"[\t\n\r -~]{8,}")
 #: Signs of UTF-16 read as one-byte text of which one byte is zero.
 _WIDE = {"utf-16-le": re.compile(r"(?:[\t\n\r -~\xa0-\xff]\x00){4,}"), "utf-16-be": re.compile(r"(?:\x00[\t\n\r -~\xa0-\xff]){4,}")}
-_QUOTED = re.compile(r"""(["'`])([^"'`\n]{1,24})\1""")
+_QUOTED = re.compile(r"""(["'`])([^"'`\n]+)\1""")
 
 #: Letters of languages written in Latin script and signs of ordinary typography, besides whole blocks below (fixed values).
 _LATIN = "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿĀāĂăĄąĆćČčĎďĐđĒēĖėĘęĚěĞğĢģĪīĮįİıĶķĹĺĻļĽľŁłŃńŅņŇňŌōŐőŒœŔŕŘřŚśŞşŠšŢţŤťŪūŮůŰűŲųŸŹźŻżŽžȘșȚțƠơƯư"
@@ -131,7 +134,7 @@ class Mender:
         self.likely = (self.kinds > 0) & (self.kinds < 8)
         self.written = self.likely & (self.kinds != _DRAWING)  # likely, and no drawing
         self.odd: dict[str, int] = {}
-        self.runs: dict[str, str | None] = {}
+        self.runs: dict[tuple[str, str], str | None] = {}
         self.tables = {n: _table(n) for n in READ_AS}
         self.single = [n for n in READ_AS if self.tables[n]]
         # a byte order mark as it looks after one, two or three wrong readings
@@ -179,12 +182,14 @@ class Mender:
             n = np.maximum(n - 1, 0)
         return np.log2((np.maximum(documents, 1) + 1.0) / (n + 0.25)).clip(0)
 
-    def suspects(self, lines: list[str]) -> list[str]:
-        """The lines with impossible signs or mostly rare letter pairs, leaving out the document itself, its copies and its repository."""
+    def suspects(self, lines: list[str]) -> tuple[list[str], list[str]]:
+        """The lines with impossible signs or mostly rare letter pairs, and those of them with hardly any pair that others have; the document itself, its copies and its repository are left out."""
         at, of = _pairs("\n".join(lines))
-        bits = np.bincount(of, self._bits(at, True), len(lines))
-        mean = bits / np.maximum(np.bincount(of, minlength=len(lines)), 1)
-        return [line for line, m in zip(lines, mean) if m >= _RARE or self.oddity(line)]
+        size = np.bincount(of, minlength=len(lines))
+        mean = np.bincount(of, self._bits(at, True), len(lines)) / np.maximum(size, 1)
+        least = max(_RARE, _FOREIGN * np.log2(4.0 * (self.documents.sum() + 1)))
+        chosen = [(line, m >= least and n >= _ENOUGH) for line, m, n in zip(lines, mean, size) if m >= _RARE or self.oddity(line)]
+        return [line for line, _ in chosen], [line for line, foreign in chosen if foreign]
 
     def oddity(self, text: str) -> int:
         """Signs of a wrong reading that need no corpus: controls, mixed scripts, signs and capitals inside words, rows of accents."""
@@ -245,11 +250,11 @@ class Mender:
         except (KeyError, UnicodeEncodeError):
             return None
 
-    def _utf8(self, run: str) -> str | None:
-        """A run of signs beyond ASCII read as the UTF-8 it was, through as many layers as there are."""
+    def _utf8(self, run: str, first: str = READ_AS[0]) -> str | None:
+        """A run of signs beyond ASCII read as the UTF-8 it was, through as many layers as there are (each makes it shorter)."""
         best, now = None, run
-        for _ in range(_LAYERS):
-            for name in self.single:
+        while True:
+            for name in self.single if first == READ_AS[0] else (first, *self.single):
                 raw = self.bytes_of(now, name)
                 if raw is None:
                     continue
@@ -266,29 +271,33 @@ class Mender:
                 best = now
         return best
 
-    def _mended_run(self, m: re.Match) -> str:
-        run = m.group()
-        if run not in self.runs:
+    def _mended_run(self, run: str, first: str) -> str:
+        if (run, first) not in self.runs:
             if len(self.runs) >= _REMEMBERED:
                 self.runs.clear()
-            new = self._utf8(run)
+            new = self._utf8(run, first)
             if len(run) > _SHORT:
                 return new or run
-            self.runs[run] = new
-        return self.runs[run] or run
+            self.runs[run, first] = new
+        return self.runs[run, first] or run
 
-    def _mended_runs(self, line: str) -> str:
-        """``line`` with each run of signs read as UTF-8 where it can be."""
-        return _RUN.sub(self._mended_run, line) if _RUNS.search(line) else line
+    def _mended_runs(self, line: str, first: str = READ_AS[0]) -> str:
+        """``line`` with each run of signs read as UTF-8 where it can be, out of the encoding ``first`` if that is possible."""
+        return _RUN.sub(lambda m: self._mended_run(m.group(), first), line) if _RUNS.search(line) else line
 
     def _mended_line(self, line: str) -> str:
         """As :meth:`_mended_runs`, if the line gets cheaper by it: a few letters of correct text may pass for UTF-8 too."""
         new = self._mended_runs(line)
         if new == line:
             return line
+        if any(c in _NEAR_SIGNS for c in line) and (other := self._mended_runs(line, _NEAR)) != new and self._cost(other) < self._cost(new):
+            new = other
         odd = self.oddity(line)
         return new if self.oddity(new) <= odd and self._drop(line, new, odd, 0.0) > 0 else line
 
+    def _cost(self, text: str) -> float:
+        return float(self._bits(pair_codes(text), False).sum()) + _ODD * self.oddity(text)
+
     def _remains(self, line: str) -> bool:
         """Whether there is UTF-8 in wrong reading left of which signs were lost."""
         for name, pattern in self.wide.items():
@@ -309,14 +318,9 @@ class Mender:
         now = float((self._bits(at, False) * (-extra).clip(0)).sum()) + _ODD * self.oddity(read)
         return was - now if was - now >= share * was else 0.0
 
-    def _legacy(self, text: str) -> str | None:
-        """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
-        odd = self.oddity(text)
-        beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
-        if not odd and 2 * (beyond == _DRAWING).sum() > len(beyond):
-            return None  # a drawing
-        best, most = None, _MIN_DROP
-        tried = {text}
+    def _readings(self, text: str) -> list[str]:
+        """What ``text`` is in any other pair of encodings, without those in UTF-8, which leave fewer signs."""
+        out = {}
         for name in READ_AS:
             raw = self.bytes_of(text, name)
             if raw is None:
@@ -326,16 +330,55 @@ class Mender:
                     read = raw.decode(other)
                 except UnicodeDecodeError:
                     continue
-                if read in tried:
-                    continue
-                tried.add(read)
-                if not self.written[[ord(c) for c in set(read)]].all() or 4 * self.oddity(read) > odd:
-                    continue
-                drop = self._drop(text, read, odd)
-                if drop > most:
-                    best, most = read, drop
+                if read != text:
+                    out[read] = None
+        return list(out)
+
+    def _legacy(self, text: str) -> str | None:
+        """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
+        odd = self.oddity(text)
+        beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
+        if not odd and 2 * (beyond == _DRAWING).sum() > len(beyond):
+            return None  # a drawing
+        best, most = None, _MIN_DROP
+        for read in self._readings(text):
+            if not self.written[[ord(c) for c in set(read)]].all() or 4 * self.oddity(read) > odd:
+                continue
+            drop = self._drop(text, read, odd)
+            if drop > most:
+                best, most = read, drop
         return best
 
+    def _layered(self, text: str) -> str | None:
+        """As :meth:`_legacy` for text in one-byte encodings that was read wrongly more than once: rounds of readings, until one is cheap enough.
+
+        A round changes single signs, so it is found by what becomes of the different signs of
+        ``text``; only readings in which all of them are letters or usual signs are weighed. With
+        more rounds there are more readings to be cheap by chance, so each must save more, most of the cost, and must not be suspect itself.
+        """
+        odd, signs = self.oddity(text), "".join(sorted({c for c in text if c > "\x7f"}))
+        seen, now = {signs}, {signs: None}
+        for round_ in range(1, _ROUNDS + 1):
+            best, most, following = None, round_ * _MIN_DROP, {}
+            for state in now:
+                for read in self._readings(state):
+                    if read in seen or len(read) != len(signs) or len(set(read)) != len(signs):
+                        continue
+                    seen.add(read)
+                    following[read] = None
+                    if round_ == 1 or not self.written[[ord(c) for c in read]].all():
+                        continue
+                    whole = text.translate(dict(zip(map(ord, signs), read)))
+                    if 4 * self.oddity(whole) > odd or self._bits(pair_codes(whole), False).mean() >= _RARE:
+                        continue
+                    drop = self._drop(text, whole, odd, _LAYERED_SHARE)
+                    if drop > most:
+                        best, most = whole, drop
+            if best is not None:
+                return best
+            now = following
+        return None
+
     def _utf16(self, text: str, name: str) -> str | None:
         """``text`` read in UTF-16, if it can be and all its signs are likely."""
         raw = self.bytes_of(text, "cp1252")
@@ -450,13 +493,18 @@ class Mender:
                 lines[i] = line = mended
             if "�" not in line and not line.isascii():
                 open_.setdefault(line, []).append(i)
-        if open_ and (suspects := self.suspects(list(open_))):
+        suspects, foreign = self.suspects(list(open_)) if open_ else ([], [])
+        if suspects:
             # one document is mostly read wrongly in one way: its lines are judged together, then one by one
             read = self._legacy("\n".join(suspects))
             if read is not None and read.count("\n") == len(suspects) - 1:
                 fixed = read.split("\n")
             else:
                 fixed = [self._legacy(line) or line for line in suspects]
+                still = [line for line, new in zip(suspects, fixed) if new == line and line in foreign]
+                if still and (read := self._layered("\n".join(still))):
+                    more = dict(zip(still, read.split("\n")))
+                    fixed = [more.get(line, new) for line, new in zip(suspects, fixed)]
             for line, new in zip(suspects, fixed):
                 if new != line:
                     found = True
@@ -527,15 +575,13 @@ def mended_documents(docs: DataFrame) -> DataFrame:
     so a garbling that is common does not pass for normal. Only a group of repositories with most of all texts judges itself.
     """
     spark = docs.sparkSession
-    counts = checkpointed(pair_counts(docs))
-    slot, columns, documents = np.zeros(PAIRS, np.int32), [np.zeros(GROUPS + 1, np.int32)], np.zeros(GROUPS + 1, np.int64)
-    for row in counts.toLocalIterator():  # at most PAIRS rows
-        if row.pair < 0:
-            documents = np.array(row.n)
-        else:
-            slot[row.pair] = len(columns)
-            columns.append(np.minimum(row.n, 2**31 - 1).astype(np.int32))
-    shared = spark.sparkContext.broadcast((slot, np.ascontiguousarray(np.array(columns).T), documents))
+    counts = pair_counts(docs).toArrow()  # at most PAIRS rows
+    pair = counts.column("pair").to_numpy()
+    n = counts.column("n").combine_chunks().flatten().to_numpy().reshape(len(pair), GROUPS + 1)
+    slot, documents = np.zeros(PAIRS, np.int32), n[pair < 0].sum(0)
+    slot[pair[pair >= 0]] = np.arange(1, (pair >= 0).sum() + 1)
+    seen = np.concatenate([np.zeros((1, GROUPS + 1), np.int64), n[pair >= 0]]).clip(0, 2**31 - 1).astype(np.int32)
+    shared = spark.sparkContext.broadcast((slot, np.ascontiguousarray(seen.T), documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mender = Mender(*shared.value)

@@ -31,7 +31,7 @@ def found(spark, corpus, docs):
 
 def test_repairs(spark, corpus):
     ways = [
-        ("utf-8", "latin-1", LINES), ("utf-8", "mac_roman", ["de", "fr", "en"]), ("utf-8", "cp437", ["de", "fr"]), ("utf-8", "koi8_r", ["de", "fr"]),
+        ("utf-8", "latin-1", LINES), ("utf-8", "mac_roman", ["de", "fr", "en"]), ("utf-8", "cp437", ["de", "fr"]), ("utf-8", "koi8_r", ["de", "fr"]), ("utf-8", "iso8859_15", ["de", "fr"]),
         ("cp1251", "latin-1", ["ru"]), ("koi8_r", "cp1251", ["ru"]), ("cp1252", "cp1251", ["de", "fr"]), ("cp1250", "cp1252", ["pl"]),
         ("gb18030", "latin-1", ["zh"]), ("euc_jp", "latin-1", ["ja"]), ("cp850", "latin-1", ["de"]), ("cp1252", "mac_roman", ["de"]), ("cp1252", "gbk", ["de"]),
     ]
@@ -53,6 +53,24 @@ def test_repairs(spark, corpus):
     assert {i: got[i] for i in want} == want
 
 
+def test_any_number_of_layers(spark, corpus):
+    docs, want = [], {}
+    bad = LINES["de"]
+    for i in range(1, 8):
+        bad = wrong(bad, "utf-8", "latin-1")
+        docs.append((i, CODE + bad))
+        want[i] = CODE + LINES["de"]
+    for i, ways in enumerate([("koi8_r", "cp1251", "cp866", "cp1251"), ("cp1251", "koi8_r", "cp866", "cp1251"), ("koi8_r", "cp1251", "koi8_r", "cp1251"), ("cp1251", "koi8_r", "cp1251", "koi8_r")]):
+        docs.append((20 + i, CODE + wrong(wrong(LINES["ru"], *ways[:2]), *ways[2:]) + "\n# " + LINES["fr"]))
+        want[20 + i] = CODE + LINES["ru"] + "\n# " + LINES["fr"]
+    assert found(spark, corpus, docs) == want
+
+
+def test_long_literals_are_literals_too(spark, corpus):
+    quoted = "’àéî€" * 8
+    assert found(spark, corpus, [(1, f'{{ "{wrong(quoted, "utf-8", "cp1252")}": "{quoted}" }}')]) == {}
+
+
 def test_lost_signs_are_found_without_a_text(spark, corpus):
     docs = [(1, CODE + wrong(LINES["de"], "cp1252", "utf-8", "replace")), (2, CODE + wrong(LINES["ja"], "utf-8", "cp1252", "replace").replace("�", "?")), (3, CODE + LINES["fr"].replace("é", "�"))]
     assert {k: v for k, v in found(spark, corpus, docs).items()} == {1: None, 2: None, 3: None}
