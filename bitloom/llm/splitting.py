@@ -65,7 +65,7 @@ def cut_points(ref: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, min_g
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
     step = limit - overlap
-    g = gaps_of(ref, limit, min_gap)
+    g = checkpointed(gaps_of(ref, limit, min_gap))  # a row per oversized contig; the sequences are read once
     near = F.filter("gaps", lambda x: x["gap_end"] <= overlap)
     cuts = F.filter("gaps", lambda x: x["gap_end"] > overlap)
 
