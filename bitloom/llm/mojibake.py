@@ -20,6 +20,9 @@ READ_AS = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250"
 #: Encodings it may have been written in, in (fixed values).
 WRITTEN_AS = ["utf-8", "cp1252", "cp850", "cp437", "mac_roman", "cp1250", "cp1254", "cp1251", "koi8_r", "cp866", "cp852", "cp1253", "cp1257", "iso8859_2", "gb18030", "cp932", "euc_jp", "cp949", "big5", "koi8_u"]
 
+#: Those of them in which a byte is a sign (fixed values).
+_ONE_BYTE = {"cp1252", "cp850", "cp437", "mac_roman", "cp1250", "cp1254", "cp1251", "koi8_r", "cp866", "cp852", "cp1253", "cp1257", "iso8859_2", "koi8_u"}
+
 #: An encoding that differs from the first one in few signs only, and these signs, which may come from either (fixed values).
 _NEAR, _NEAR_SIGNS = "iso8859_15", "€ŠšŽžŒœŸ"
 
@@ -29,6 +32,8 @@ PAIRS, GROUPS = 1 << 20, 16
 _HAN, _DRAWING = 5, 7
 _REMEMBERED, _SHORT = 200_000, 40  # words a worker remembers, and how long one may be
 
+_TABLED = 1 << 18  # letter pairs up to which a worker keeps their bits for each group of repositories (8 bytes each)
+
 _HOPELESS = 8  # impossible signs in a line by which it counts as garbled even without a repair
 _FOREIGN = 0.6  # share of the bits of a pair seen nowhere that pairs of a line must cost on average to be taken for read wrongly more than once
 _ENOUGH = 12  # letter pairs by which that can be told
@@ -133,6 +138,7 @@ class Mender:
         self.kinds = _classes()
         self.likely = (self.kinds > 0) & (self.kinds < 8)
         self.written = self.likely & (self.kinds != _DRAWING)  # likely, and no drawing
+        self.bits: dict[tuple[int | None, bool], np.ndarray] = {}
         self.odd: dict[str, int] = {}
         self.runs: dict[tuple[str, str], str | None] = {}
         self.tables = {n: _table(n) for n in READ_AS}
@@ -169,7 +175,15 @@ class Mender:
         return self.copied
 
     def _bits(self, at: np.ndarray, own: bool) -> np.ndarray:
-        columns = self.slot[at]
+        minus, columns = own and self._counts_itself(), self.slot[at]
+        if len(self.everywhere) > _TABLED:
+            return self._bits_of(columns, minus)
+        key = self.group, minus
+        if key not in self.bits:
+            self.bits[key] = self._bits_of(np.arange(len(self.everywhere)), minus)
+        return self.bits[key][columns]
+
+    def _bits_of(self, columns: np.ndarray, minus: bool) -> np.ndarray:
         n, documents, first = self.everywhere[columns], self.documents.sum(), self.first[columns]
         most = documents / 2
         if self.group is not None:
@@ -178,7 +192,7 @@ class Mender:
         # nor does one group alone make a pair normal
         rest = documents - self.documents[first]
         n, documents = np.where(rest >= most, n - self.seen[first, columns], n), np.where(rest >= most, rest, documents)
-        if own and self._counts_itself():
+        if minus:
             n = np.maximum(n - 1, 0)
         return np.log2((np.maximum(documents, 1) + 1.0) / (n + 0.25)).clip(0)
 
@@ -195,6 +209,15 @@ class Mender:
         """Signs of a wrong reading that need no corpus: controls, mixed scripts, signs and capitals inside words, rows of accents."""
         return sum(self._odd_word(w) for w in _WORD.findall(text))
 
+    def _odder(self, text: str, limit: float) -> bool:
+        """Whether the oddity of ``text`` is above ``limit``; stops where it is."""
+        odd = 0
+        for m in _WORD.finditer(text):
+            odd += self._odd_word(m.group())
+            if odd > limit:
+                return True
+        return False
+
     def _odd_word(self, word: str) -> int:
         known = self.odd.get(word)
         if known is None:
@@ -309,17 +332,18 @@ class Mender:
                 return True
         return False
 
-    def _drop(self, text: str, read: str, odd: int, share: float = _MIN_SHARE) -> float:
-        """Bits that ``read`` costs less than ``text``, over what differs between them; 0 if that is too small a share."""
-        a, b = pair_codes(text), pair_codes(read)
+    def _drop(self, text: str, read: str, odd: int, share: float = _MIN_SHARE, codes: np.ndarray | None = None) -> float:
+        """Bits that ``read`` costs less than ``text`` (of which ``codes`` are the letter pairs), over what differs between them; 0 if that is too small a share."""
+        a, b = pair_codes(text) if codes is None else codes, pair_codes(read)
         at, which = np.unique(np.concatenate([a, b]), return_inverse=True)
         extra = np.bincount(which[: len(a)], minlength=len(at)) - np.bincount(which[len(a) :], minlength=len(at))
-        was = float((self._bits(at, True) * extra.clip(0)).sum()) + _ODD * odd
-        now = float((self._bits(at, False) * (-extra).clip(0)).sum()) + _ODD * self.oddity(read)
+        lost, new = extra > 0, extra < 0
+        was = float(self._bits(at[lost], True) @ extra[lost]) + _ODD * odd
+        now = float(self._bits(at[new], False) @ -extra[new]) + _ODD * self.oddity(read)
         return was - now if was - now >= share * was else 0.0
 
     def _readings(self, text: str) -> list[str]:
-        """What ``text`` is in any other pair of encodings, without those in UTF-8, which leave fewer signs."""
+        """What ``text`` is in any other pair of encodings."""
         out = {}
         for name in READ_AS:
             raw = self.bytes_of(text, name)
@@ -334,17 +358,48 @@ class Mender:
                     out[read] = None
         return list(out)
 
+    def _written_readings(self, text: str, signs: str) -> list[str]:
+        """The readings of ``text`` all signs of which are letters or usual signs; ``signs`` are its different ones beyond ASCII.
+
+        Between one-byte encodings they tell that, before the whole text is read.
+        """
+        out, tried = {}, {signs}
+        for name in READ_AS:
+            some = self.bytes_of(signs, name)
+            raw = None
+            for other in WRITTEN_AS if some is not None else ():
+                try:
+                    if name in self.single and other in _ONE_BYTE:
+                        few = some.decode(other)
+                        if few not in tried:
+                            tried.add(few)
+                            if self.written[[ord(c) for c in few]].all():
+                                raw = raw or self.bytes_of(text, name)
+                                out[raw.decode(other)] = None
+                        continue
+                    raw = raw or self.bytes_of(text, name)
+                    read = raw.decode(other)
+                except UnicodeDecodeError:
+                    continue
+                if read != text and read not in out and self.written[[ord(c) for c in set(read)]].all():
+                    out[read] = None
+        return list(out)
+
     def _legacy(self, text: str) -> str | None:
         """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
+        signs = "".join(sorted({c for c in text if c > "\x7f"}))
+        if not signs:
+            return None
         odd = self.oddity(text)
-        beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
-        if not odd and 2 * (beyond == _DRAWING).sum() > len(beyond):
-            return None  # a drawing
-        best, most = None, _MIN_DROP
-        for read in self._readings(text):
-            if not self.written[[ord(c) for c in set(read)]].all() or 4 * self.oddity(read) > odd:
+        if not odd:
+            beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
+            if 2 * (beyond == _DRAWING).sum() > len(beyond):
+                return None  # a drawing
+        best, most, codes = None, _MIN_DROP, pair_codes(text)
+        for read in self._written_readings(text, signs):
+            if self._odder(read, odd / 4):
                 continue
-            drop = self._drop(text, read, odd)
+            drop = self._drop(text, read, odd, codes=codes)
             if drop > most:
                 best, most = read, drop
         return best
@@ -369,7 +424,7 @@ class Mender:
                     if round_ == 1 or not self.written[[ord(c) for c in read]].all():
                         continue
                     whole = text.translate(dict(zip(map(ord, signs), read)))
-                    if 4 * self.oddity(whole) > odd or self._bits(pair_codes(whole), False).mean() >= _RARE:
+                    if self._odder(whole, odd / 4) or self._bits(pair_codes(whole), False).mean() >= _RARE:
                         continue
                     drop = self._drop(text, whole, odd, _LAYERED_SHARE)
                     if drop > most:
