@@ -122,6 +122,11 @@ def pair_codes(text: str) -> np.ndarray:
     return _pairs(text)[0]
 
 
+def _words(text: str) -> str:
+    """The words of ``text`` with anything beyond ASCII; they have all its letter pairs and odd signs, and stay few on long lines."""
+    return " ".join(_WORD.findall(text))
+
+
 class Mender:
     """Judges and repairs texts, given in how many different documents each letter pair occurs.
 
@@ -358,15 +363,15 @@ class Mender:
                     out[read] = None
         return list(out)
 
-    def _written_readings(self, text: str, signs: str) -> list[str]:
-        """The readings of ``text`` all signs of which are letters or usual signs; ``signs`` are its different ones beyond ASCII.
+    def _written_readings(self, text: str, words: str, signs: str) -> Iterator[tuple[str, str, str]]:
+        """The readings of ``text`` all signs of which are letters or usual signs, each with the two encodings; ``signs`` are its different ones beyond ASCII.
 
-        Between one-byte encodings they tell that, before the whole text is read.
+        Between one-byte encodings these tell that, and ``words`` is read in place of the whole text.
         """
-        out, tried = {}, {signs}
+        tried, seen = {signs}, {text}
         for name in READ_AS:
             some = self.bytes_of(signs, name)
-            raw = None
+            raw = raw_words = None
             for other in WRITTEN_AS if some is not None else ():
                 try:
                     if name in self.single and other in _ONE_BYTE:
@@ -374,16 +379,16 @@ class Mender:
                         if few not in tried:
                             tried.add(few)
                             if self.written[[ord(c) for c in few]].all():
-                                raw = raw or self.bytes_of(text, name)
-                                out[raw.decode(other)] = None
+                                raw_words = raw_words or self.bytes_of(words, name)
+                                yield name, other, raw_words.decode(other)
                         continue
                     raw = raw or self.bytes_of(text, name)
                     read = raw.decode(other)
                 except UnicodeDecodeError:
                     continue
-                if read != text and read not in out and self.written[[ord(c) for c in set(read)]].all():
-                    out[read] = None
-        return list(out)
+                if read not in seen and self.written[[ord(c) for c in set(read)]].all():
+                    seen.add(read)
+                    yield name, other, read
 
     def _legacy(self, text: str) -> str | None:
         """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
@@ -395,14 +400,15 @@ class Mender:
             beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
             if 2 * (beyond == _DRAWING).sum() > len(beyond):
                 return None  # a drawing
-        best, most, codes = None, _MIN_DROP, pair_codes(text)
-        for read in self._written_readings(text, signs):
+        words = _words(text)
+        best, most, codes = None, _MIN_DROP, pair_codes(words)
+        for name, other, read in self._written_readings(text, words, signs):
             if self._odder(read, odd / 4):
                 continue
-            drop = self._drop(text, read, odd, codes=codes)
+            drop = self._drop(words, read, odd, codes=codes)
             if drop > most:
-                best, most = read, drop
-        return best
+                best, most = (name, other), drop
+        return best and self.bytes_of(text, best[0]).decode(best[1])
 
     def _layered(self, text: str) -> str | None:
         """As :meth:`_legacy` for text in one-byte encodings that was read wrongly more than once: rounds of readings, until one is cheap enough.
@@ -412,7 +418,8 @@ class Mender:
         more rounds there are more readings to be cheap by chance, so each must save more, most of the cost, and must not be suspect itself.
         """
         odd, signs = self.oddity(text), "".join(sorted({c for c in text if c > "\x7f"}))
-        seen, now = {signs}, {signs: None}
+        words = _words(text)
+        codes, seen, now = pair_codes(words), {signs}, {signs: None}
         for round_ in range(1, _ROUNDS + 1):
             best, most, following = None, round_ * _MIN_DROP, {}
             for state in now:
@@ -423,14 +430,15 @@ class Mender:
                     following[read] = None
                     if round_ == 1 or not self.written[[ord(c) for c in read]].all():
                         continue
-                    whole = text.translate(dict(zip(map(ord, signs), read)))
-                    if self._odder(whole, odd / 4) or self._bits(pair_codes(whole), False).mean() >= _RARE:
+                    changed = dict(zip(map(ord, signs), read))
+                    read_words = words.translate(changed)
+                    if self._odder(read_words, odd / 4) or self._bits(pair_codes(read_words), False).mean() >= _RARE:
                         continue
-                    drop = self._drop(text, whole, odd, _LAYERED_SHARE)
+                    drop = self._drop(words, read_words, odd, _LAYERED_SHARE, codes)
                     if drop > most:
-                        best, most = whole, drop
+                        best, most = changed, drop
             if best is not None:
-                return best
+                return text.translate(best)
             now = following
         return None
 
