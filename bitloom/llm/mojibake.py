@@ -363,15 +363,15 @@ class Mender:
                     out[read] = None
         return list(out)
 
-    def _written_readings(self, text: str, words: str, signs: str) -> Iterator[tuple[str, str, str]]:
-        """The readings of ``text`` all signs of which are letters or usual signs, each with the two encodings; ``signs`` are its different ones beyond ASCII.
+    def _written_readings(self, text: str, signs: str) -> list[str]:
+        """The readings of ``text`` all signs of which are letters or usual signs; ``signs`` are its different ones beyond ASCII.
 
-        Between one-byte encodings these tell that, and ``words`` is read in place of the whole text.
+        Between one-byte encodings they tell that, before the whole text is read.
         """
-        tried, seen = {signs}, {text}
+        out, tried = {}, {signs}
         for name in READ_AS:
             some = self.bytes_of(signs, name)
-            raw = raw_words = None
+            raw = None
             for other in WRITTEN_AS if some is not None else ():
                 try:
                     if name in self.single and other in _ONE_BYTE:
@@ -379,16 +379,16 @@ class Mender:
                         if few not in tried:
                             tried.add(few)
                             if self.written[[ord(c) for c in few]].all():
-                                raw_words = raw_words or self.bytes_of(words, name)
-                                yield name, other, raw_words.decode(other)
+                                raw = raw or self.bytes_of(text, name)
+                                out[raw.decode(other)] = None
                         continue
                     raw = raw or self.bytes_of(text, name)
                     read = raw.decode(other)
                 except UnicodeDecodeError:
                     continue
-                if read not in seen and self.written[[ord(c) for c in set(read)]].all():
-                    seen.add(read)
-                    yield name, other, read
+                if read != text and read not in out and self.written[[ord(c) for c in set(read)]].all():
+                    out[read] = None
+        return list(out)
 
     def _legacy(self, text: str) -> str | None:
         """The reading of ``text`` in another pair of encodings by which its cost drops most, if it drops enough."""
@@ -400,15 +400,14 @@ class Mender:
             beyond = self.kinds[[ord(c) for c in text if c > "\x7f"]]
             if 2 * (beyond == _DRAWING).sum() > len(beyond):
                 return None  # a drawing
-        words = _words(text)
-        best, most, codes = None, _MIN_DROP, pair_codes(words)
-        for name, other, read in self._written_readings(text, words, signs):
+        best, most, codes = None, _MIN_DROP, pair_codes(text)
+        for read in self._written_readings(text, signs):
             if self._odder(read, odd / 4):
                 continue
-            drop = self._drop(words, read, odd, codes=codes)
+            drop = self._drop(text, read, odd, codes=codes)
             if drop > most:
-                best, most = (name, other), drop
-        return best and self.bytes_of(text, best[0]).decode(best[1])
+                best, most = read, drop
+        return best
 
     def _layered(self, text: str) -> str | None:
         """As :meth:`_legacy` for text in one-byte encodings that was read wrongly more than once: rounds of readings, until one is cheap enough.
