@@ -103,7 +103,7 @@ def file_contig_hits(spark, d):
     """Hits under a p-value by contig; a contig without any has no file."""
     path = scratch(spark, "by-contig")
     sinks.write_contig_hits(report.under(core._mapped_hits(spark, d), 1e-9).select("contig_idx", "pos", "effect", "p"), path)
-    return spark.read.csv(path, sep="\t", schema="pos bigint, effect double, p double, contig_idx bigint")
+    return text.contig_hits(spark, path)
 
 
 def file_fasta(spark, d):

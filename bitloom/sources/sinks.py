@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import os
 import struct
+import uuid
+from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bases of a contig whose hits make one file, so that a giant contig is many tasks.
+_STRETCH = 5_000_000
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet with full precision."""
@@ -57,8 +65,58 @@ def read_index(spark: SparkSession, path: str, k: int) -> DataFrame:
 
 
 def write_contig_hits(mapped: DataFrame, path: str) -> None:
-    """Mapped hits by contig; a contig without hits gives no file."""
-    mapped.write.mode("overwrite").partitionBy("contig_idx").csv(path, sep="\t")
+    """Mapped hits as ``pos effect p``, sorted, in a file ``contig_7.00000.tsv`` for each contig and 5,000,000 bases; where there are no hits there is no file.
+
+    The hits of a file meet in one task. In a mounted folder tasks write files themselves, each under a hidden name first:
+    Hadoop starts three processes and keeps a sum for every file there. In other file systems Spark writes them, into folders ``contig_idx=7``.
+    """
+    spark = mapped.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    met = mapped.withColumn("_stretch", F.floor(F.col("pos") / _STRETCH)).repartition("contig_idx", "_stretch").sortWithinPartitions("contig_idx", "_stretch", "pos")
+    uri = files.makeQualified(where).toUri()
+    if uri.getScheme() != "file":
+        met.select("contig_idx", "pos", "effect", "p").write.mode("overwrite").partitionBy("contig_idx").csv(path, sep="\t")
+        return
+    files.delete(where, True)
+    files.mkdirs(where)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    name = F.concat(F.lit("contig_"), text("contig_idx"), F.lit("."), F.when(F.col("_stretch").isNull(), "none").otherwise(F.format_string("%05d", "_stretch")), F.lit(".tsv"))
+    lines = met.select(name.alias("name"), F.concat_ws("\t", text("pos"), text("effect"), text("p")).alias("line"))
+    lines.mapInArrow(_write_runs(uri.getPath()), "files bigint").agg(F.sum("files")).collect()
+    files.create(spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"), True).close()
+
+
+def _write_runs(folder: str):
+    """Writes each run of equal names as the file of that name; the rows of a name must stand together in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hidden, now, out, done = f"{folder}/.{uuid.uuid4().hex}", None, None, 0
+
+        def finish() -> None:
+            out.close()
+            os.replace(hidden, f"{folder}/{now}")
+
+        try:
+            for batch in batches:
+                pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for name, part in groupby(pairs, lambda pair: pair[0]):
+                    if name != now:
+                        if out is not None:
+                            finish()
+                        now, out, done = name, open(hidden, "w", encoding="utf-8", newline=""), done + 1  # noqa: SIM115
+                    out.write("".join(f"{line}\n" for _, line in part))
+            if out is not None:
+                finish()
+        except BaseException:
+            if out is not None:
+                out.close()
+            if os.path.exists(hidden):
+                os.remove(hidden)
+            raise
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], ["files"])
+
+    return run
 
 
 def write_pairs(pairs: DataFrame, path: str) -> None:

@@ -12,6 +12,9 @@ from bitloom.operators.mapping import normalised
 from bitloom.plans.ranks import numbered
 from bitloom.plans.runtime import checkpointed, lookup_join
 
+#: Small files that one task reads, and bytes of files in general.
+_FILES, _TASK_BYTES = 100, 16_000_000
+
 _BLANK = r"[ \t\x0B\f\r]+"
 
 
@@ -105,6 +108,20 @@ def hit_file(spark: SparkSession, path: str, first: int | None = None, last: int
     return ok if last is None else ok.filter(F.col("pos") <= last)
 
 
+def contig_hits(spark: SparkSession, path: str) -> DataFrame:
+    """``pos, effect, p, contig_idx`` of hits by contig: files ``contig_7...`` or folders ``contig_idx=7`` (:func:`bitloom.sources.sinks.write_contig_hits`).
+
+    A contig is a small file, of which Spark would give a task three or four; here a task takes a hundred (each keeps a buffer).
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size.getFileCount() // _FILES), size.getLength() // _TASK_BYTES)
+    contig = F.regexp_extract(F.col("_metadata.file_path"), r".*/contig_(?:idx=)?(-?\d*)", 1)
+    rows = spark.read.text(path).select(F.split("value", "\t").alias("f"), contig.try_cast("bigint").alias("contig_idx")).coalesce(tasks)
+    field = lambda i: F.try_element_at("f", F.lit(i))
+    return rows.select(field(1).try_cast("bigint").alias("pos"), _double(field(2)).alias("effect"), _double(field(3)).alias("p"), "contig_idx")
+
+
 def boundary_file(spark: SparkSession, path: str) -> DataFrame:
     """``label, start, end``."""
     return spark.read.csv(path, sep="\t", schema="label string, start bigint, end bigint", comment="#").filter("start is not null and end is not null")

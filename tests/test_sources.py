@@ -113,6 +113,27 @@ def test_sinks(spark, tmp_path):
     assert [tuple(r) for r in text.kmer_dictionary(spark, str(tmp_path / "d"), 2).orderBy("idx").collect()] == [(0, "AAA"), (1, "AAC")]
 
 
+def test_contig_hits(spark, tmp_path):
+    # every task has hits of every contig; a contig is one file all the same, and a stretch of 5,000,000 bases of a long one
+    rows = [(c, 10 * i + c, -0.5 * i, 10.0**-i) for i in range(8) for c in range(40)] + [(3, 12_000_000, 0.25, 1e-300), (None, 5, 1.5, 0.0), (7, 5_000_000, None, 1.0), (7, None, 2.0, 0.5)]
+    hits = spark.createDataFrame(rows, "contig_idx bigint, pos bigint, effect double, p double").repartition(8)
+    path = tmp_path / "by contig%"
+    put(path / "contig_99.00000.tsv", "1\t1\t1\n")  # from before
+    sinks.write_contig_hits(hits, str(path))
+    names = sorted(f.name for f in path.iterdir() if f.name[0] not in "_.")
+    assert names == sorted([*(f"contig_{c}.00000.tsv" for c in range(40)), "contig_3.00002.tsv", "contig_7.00001.tsv", "contig_7.none.tsv", "contig_.00000.tsv"])
+    assert not any(f.is_dir() for f in path.iterdir()) and not list(path.glob(".[0-9a-f]*"))
+    assert [int(x.split("\t")[0]) for x in (path / "contig_5.00000.tsv").read_text().splitlines()] == [10 * i + 5 for i in range(8)]
+    order = lambda r: str(tuple(r))
+    got = sorted(((r.contig_idx, r.pos, r.effect, r.p) for r in text.contig_hits(spark, str(path)).collect()), key=order)
+    assert got == sorted(rows, key=order)
+    hits.write.partitionBy("contig_idx").csv(str(tmp_path / "folders"), sep="\t")  # as in other file systems
+    got = sorted(((r.contig_idx, r.pos, r.effect, r.p) for r in text.contig_hits(spark, str(tmp_path / "folders")).collect()), key=order)
+    assert got == sorted(rows, key=order)
+    sinks.write_contig_hits(hits.limit(0), str(path))
+    assert text.contig_hits(spark, str(path)).count() == 0 and [f.name for f in path.iterdir() if f.suffix == ".tsv"] == []
+
+
 def test_stream_scan(spark, tmp_path):
     rng = np.random.default_rng(0)
     y = np.arange(12.0)
